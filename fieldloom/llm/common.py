@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,3 +63,31 @@ def slices(batch: pa.RecordBatch, text: str, most_bytes: int) -> Iterator[pa.Rec
         size += int(n)
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+class WordTable:
+    """A number for each white-space-separated word, made once by ``make(word)`` and kept in two generations of
+    ``limit`` words at most; what is asked for again moves to the younger one."""
+
+    def __init__(self, make: Callable[[str], int], limit: int = 400_000) -> None:
+        self.make, self.limit, self.known, self.older = make, limit, {}, {}
+
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        """Numbers of all words in a row, words of each text, and the words."""
+        split = [x.split() for x in texts]
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}
+        new = set().union(*split).difference(self.known)
+        older, make = self.older, self.make
+        self.known |= {x: older[x] if x in older else make(x) for x in new}
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        return np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum())), lengths, split
+
+
+def labelled_sample(labels: DataFrame, label_col: str, allowed: Column, most: int, id_col: str = "doc_id") -> DataFrame:
+    """``id_col`` and label (0 or 1) of at most ``most`` labelled rows: all of them, or those a hash of the id picks."""
+    known = labels.where(allowed & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).cast("int").alias("label"))
+    n = known.count()
+    if n > most:
+        known = known.where(unit_hash(F.col(id_col), 6) < 0.97 * most / n)
+    return known.limit(most)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import chat, language, url_filter, warc
-from fieldloom.llm.common import fold, table
+from fieldloom.llm import chat, language, packing, quality, toxicity, url_filter, warc
+from fieldloom.llm.common import fold, labelled_sample, table
 
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
@@ -19,10 +20,38 @@ def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def _judged(scored: DataFrame, folds: int, held: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.character_model(docs)
+    judge = toxicity.train(docs, labelled_sample(labels, "toxic", fold(F.col("doc_id"), 4) != 2, toxicity.MOST), model)
+    return _judged(toxicity.score(docs, model, judge), 4, 2)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    vectors = quality.word_vectors(docs)
+    network = quality.train(docs, labelled_sample(labels, "quality", fold(F.col("doc_id"), 5) != 0, quality.MOST), vectors)
+    return _judged(quality.score(docs, vectors, network), 5, 0)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, fold(F.col("doc_id"), 4) != 2)
-    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(found).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +61,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_chat_rotation": op4_chat_rotation,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
+    "op9_packing": op9_packing,
     "op10_warc": op10_warc,
 }
 
