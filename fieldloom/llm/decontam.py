@@ -30,6 +30,8 @@ from fieldloom.llm.common import slices
 
 BLOCK = 4_000_000
 SLICE = 4 << 20
+RATE = 0.08  # edits a character of an item
+LEAST = 24  # folded characters of an item that takes part
 OTHER = re.compile(r"[\W_]+")
 
 
@@ -132,25 +134,30 @@ class Matcher:
         return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, least: int = 24, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``id_col``, ``item_col``, distance, start, end for every occurrence of an item of ``benchmark`` in ``docs``."""
-    if not 0 <= rate < 0.5:
-        raise ValueError("rate")
-    spark = docs.sparkSession
-    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+def _blocks(benchmark: DataFrame, least: int, item_col: str, item_text: str) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and folded texts of the items, in blocks of bounded size."""
     items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
     size = items.agg(F.sum(F.length("text"))).head()[0] or 0
     blocks = -(-2 * size // BLOCK) or 1
-    schema = f"{id_col} {id_kind}, {item_col} {item_kind}, distance int, start long, end long"
-    out = None
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toArrow().sort_by([("text", "ascending"), ("item", "ascending")])
         ids, texts = own.column("item").combine_chunks(), [folded(x) for x in own.column("text").to_pylist()]
         some = [i for i, x in enumerate(texts) if len(x) >= least]
-        shared = spark.sparkContext.broadcast((ids.take(pa.array(some, pa.int64())), [texts[i] for i in some], rate))
+        yield ids.take(pa.array(some, pa.int64())), [texts[i] for i in some]
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``id_col``, ``item_col``, distance, start, end for every occurrence of an item of ``benchmark`` in ``docs``."""
+    if not 0 <= rate < 0.5:
+        raise ValueError("rate")
+    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    schema = f"{id_col} {id_kind}, {item_col} {item_kind}, distance int, start long, end long"
+    out = None
+    for block in _blocks(benchmark, least, item_col, item_text):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, texts, rate = shared.value
+            ids, texts = shared.value
             matcher = Matcher(texts, rate)
             for batch in batches:
                 for part in slices(batch, text_col, SLICE):
@@ -162,3 +169,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, lea
         found = docs.select(id_col, text_col).mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least: int = LEAST, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, in which no item occurs."""
+    at = docs.columns.index(text_col)
+    for block in _blocks(benchmark, least, item_col, item_text):
+        shared = docs.sparkSession.sparkContext.broadcast(block[1])
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, rate)
+            for batch in batches:
+                for part in slices(batch, text_col, SLICE):
+                    yield part.filter(pa.array([not (x and matcher.matches(folded(x))) for x in part.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -187,12 +187,15 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, labelled:
     return out
 
 
-def identify(docs: DataFrame, labelled: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = 120, letters: int = 60_000) -> DataFrame:
-    """``id_col``, lang_pred, score and bits (phrase bits a letter) of every row of ``docs``. ``labelled`` says
-    which rows may be learned from. ``documents`` and ``letters`` bound the sample of each language."""
-    spark = docs.sparkSession
-    found = sample(docs, id_col, text_col, lang_col, labelled, documents, letters)
-    model = spark.sparkContext.broadcast(Parser.fit(found))
+def fit(docs: DataFrame, labelled: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = 120, letters: int = 60_000) -> Parser:
+    """A parser of the languages of ``docs``. ``labelled`` says which rows may be learned from; ``documents`` and
+    ``letters`` bound the sample of each language."""
+    return Parser.fit(sample(docs, id_col, text_col, lang_col, labelled, documents, letters))
+
+
+def identify(docs: DataFrame, parser: Parser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, lang_pred, score and bits (phrase bits a letter) of every row of ``docs``."""
+    model = docs.sparkSession.sparkContext.broadcast(parser)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = model.value
@@ -203,3 +206,17 @@ def identify(docs: DataFrame, labelled: Column, id_col: str = "doc_id", text_col
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, lang_pred string, score double, bits double")
+
+
+def known_language(docs: DataFrame, parser: Parser, text_col: str = "text", most_bits: float = 10.0) -> DataFrame:
+    """The rows of ``docs``, whole, whose text is in a learned language: not ``und``, and not so far from all samples
+    that its phrases cost more than ``most_bits`` bits a letter."""
+    model, at = docs.sparkSession.sparkContext.broadcast(parser), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col, SLICE):
+                names, _, bits = model.value.judge(part.column(at).to_pylist())
+                yield part.filter(pa.array([n != "und" and b <= most_bits for n, b in zip(names, bits, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

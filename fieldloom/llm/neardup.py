@@ -282,3 +282,13 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 5, weightin
     rows = signed.select("id", "node").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("label"))
     classes = rows.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
     return rows.join(classes, "label", "left").select(F.col("id").alias(id_col), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"))
+
+
+def one_of_each(docs: DataFrame, least: float = 0.8, size: int = 5, weighting: str = "presence", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole: of each class the one with the least id (null ids last; of repeated rows, one).
+    ``docs`` must be a read of files, whose rows keep their order."""
+    last = F.lit((1 << 63) - 1)
+    named = docs.withColumn("_row", F.struct(F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.monotonically_increasing_id().alias("at")))
+    found = near_duplicates(named, least, size, weighting, "_row", text_col)
+    kept = found.where(F.col("class_id") == F.col("_row")).select(F.col("_row.at").alias("_at"))
+    return named.withColumn("_at", F.col("_row.at")).join(kept, "_at", "left_semi").select(*docs.columns)

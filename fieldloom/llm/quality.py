@@ -219,3 +219,17 @@ def score(docs: DataFrame, vectors: Vectors, network: Network, id_col: str = "do
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.float64())], names=[id_col, "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, score double")
+
+
+def good(docs: DataFrame, vectors: Vectors, network: Network, text_col: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, whole, whose score is ``least`` or more."""
+    model, at = docs.sparkSession.sparkContext.broadcast((vectors, network)), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (vectors, network), table = model.value, WordTable(word_number)
+        for batch in batches:
+            for part in slices(batch, text_col, SLICE):
+                got = network.predict(vectors.pooled(table, [x or "" for x in part.column(at).to_pylist()]))
+                yield part.filter(pa.array(got >= least, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

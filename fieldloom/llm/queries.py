@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import chat, decontam, language, neardup, packing, quality, toxicity, url_filter, warc
+from fieldloom.llm import ann, chat, decontam, language, neardup, packing, quality, toxicity, url_filter, warc
 from fieldloom.llm.common import fold, labelled_sample, table
 
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -51,9 +52,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score(docs, vectors, network), 5, 0)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = language.identify(docs, fold(F.col("doc_id"), 4) != 2)
+    found = language.identify(docs, language.fit(docs, fold(F.col("doc_id"), 4) != 2))
     return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
@@ -67,12 +72,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_url_filter": op3_url_filter,
     "op4_chat_rotation": op4_chat_rotation,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
