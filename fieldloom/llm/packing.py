@@ -7,7 +7,7 @@
 4. While the total is above the bound of all pieces together, the partitions exchange: pieces of bins that are
    not full (and, from the second round on, of a share of the full bins) are dealt anew, across partitions,
    packed again and certified again; a round counts only if it needs fewer bins. It ends at the bound, or
-   after a round with full bins that gains nothing.
+   after two rounds with full bins that gain nothing.
 
 Ids of a text are the ids of its white-space-separated words one after another (the vocabulary's splitting never
 spans white space), so each distinct word is encoded once a worker and kept in a table of bounded size. Texts
@@ -194,7 +194,7 @@ def _bins(packed: DataFrame) -> int:
     return packed.where("offset = 0").count()
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, rounds: int = 6) -> DataFrame:
+def pack(found: DataFrame, capacity: int = CAPACITY, rounds: int = 12) -> DataFrame:
     """``found`` (see ``pieces``) with sequence_id, offset, load (of the sequence) and excess (bins over the certified
     bound of the partition that packed it last)."""
     found = cut(found)
@@ -204,20 +204,22 @@ def pack(found: DataFrame, capacity: int = CAPACITY, rounds: int = 6) -> DataFra
         histogram[r.length] = r.n
     bound = lower_bound(histogram, capacity)
     packed = cut(_packed(found, 0, capacity))
-    total = _bins(packed)
+    total, stalled = _bins(packed), 0
     for round_ in range(1, rounds + 1):
         if total <= bound:
             break
         release = F.col("load") < capacity
         if round_ > 1:
-            release |= F.pmod(F.xxhash64(F.lit(round_), "sequence_id"), F.lit(8)) == 0
+            release |= F.pmod(F.xxhash64(F.lit(round_), "sequence_id"), F.lit(3)) == 0
         pool = cut(packed.where(release).select(names + ["sequence_id", "offset", "load", "excess"]))
         before = _bins(pool)
         again = cut(_packed(pool.select(names), round_, capacity))
         gained = before - _bins(again)
         if gained > 0:
             packed = cut(packed.where(~release).unionByName(again))
-            total -= gained
+            total, stalled = total - gained, 0
         elif round_ > 1:
+            stalled += 1
+        if stalled == 2:
             break
     return packed
