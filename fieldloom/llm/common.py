@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -35,6 +36,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def uri(path: str) -> str:
+    """A path in the form that file systems outside Spark know, too."""
+    return re.sub(r"^(file:)?/(?!/)", "file:///", path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, its lineage cut; survives lost executors."""
     shared_dir(df.sparkSession)

@@ -14,18 +14,21 @@ Where no rule fits, ``verdict`` is ``allow``: the digest array lists nothing aga
 
 from __future__ import annotations
 
+import io
 import os
 import string
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyarrow import fs
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldloom.llm.common import scratch, uri
+
 FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
@@ -51,8 +54,8 @@ class DigestArray:
         self.strings = np.memmap(name[4], dtype=np.uint8, mode="r") if os.path.getsize(name[4]) else np.empty(0, np.uint8)
 
     @classmethod
-    def write(cls, rules: Iterable[tuple[str, str]], folder: str, prefix: str = "", digest=xxhash.xxh64_intdigest) -> None:
-        """``rules``: (``allow`` or ``block``, host with path). A rule that stands twice keeps its first action."""
+    def files(cls, rules: Iterable[tuple[str, str]], digest=xxhash.xxh64_intdigest) -> dict[str, bytes]:
+        """The index of ``rules``: (``allow`` or ``block``, host with path). A rule that stands twice keeps its first action."""
         first: dict[str, str] = {}
         for action, rule in rules:
             if action not in ("allow", "block") or "/" not in rule:
@@ -67,10 +70,11 @@ class DigestArray:
             np.array([x[2] == "allow" for x in rows], bool),
             np.unique(np.array([len(x[1].decode().partition("/")[2]) + 1 for x in rows], np.int64)),
         )
+        out = {}
         for name, array in zip(cls.FILES, arrays, strict=False):
-            np.save(os.path.join(folder, prefix + name), array)
-        with open(os.path.join(folder, prefix + cls.FILES[4]), "wb") as out:
-            out.write(b"".join(blob))
+            np.save(held := io.BytesIO(), array)
+            out[name] = held.getvalue()
+        return out | {cls.FILES[4]: b"".join(blob)}
 
     def find(self, asked: list[str], digest=xxhash.xxh64_intdigest) -> np.ndarray:
         """Position of each string, -1 where it isn't stored."""
@@ -115,10 +119,13 @@ class DigestArray:
 def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``id_col``, host, path, rule, verdict for every row of ``pages``; see the module's text for special cases."""
     spark: SparkSession = pages.sparkSession
-    folder, prefix = tempfile.mkdtemp(prefix="fieldloom-rules-"), f"rules-{uuid.uuid4().hex}-"
-    DigestArray.write(rules, folder, prefix)
-    for name in DigestArray.FILES:  # Spark hands each executor its own copy, which it maps
-        spark.sparkContext.addFile(os.path.join(folder, prefix + name))
+    prefix, folder = f"rules-{uuid.uuid4().hex}-", uri(scratch(spark, "rules"))
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    for name, data in DigestArray.files(rules).items():  # Spark hands each executor its own copy, which it maps
+        with store.open_output_stream(f"{root}/{prefix}{name}") as out:
+            out.write(data)
+        spark.sparkContext.addFile(f"{folder}/{prefix}{name}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = DigestArray(os.path.dirname(SparkFiles.get(prefix + DigestArray.FILES[0])), prefix)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import scratch
+from fieldloom.llm.common import scratch, uri
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
@@ -273,8 +273,7 @@ def read_archives(paths: DataFrame, folder: str, most: int = 1 << 30) -> DataFra
 def round_trip(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """Writes ``pages`` to archives in the shared folder, then reads every archive back."""
     spark = pages.sparkSession
-    folder = scratch(spark, "warc")
-    folder = re.sub(r"^(file:)?/(?!/)", "file:///", folder)
+    folder = uri(scratch(spark, "warc"))
     manifest = f"{folder}-manifest"
     write_archives(pages, folder, id_col, url_col, payload_col, least_bytes).write.parquet(manifest)
     names = spark.read.parquet(manifest).select("path")

@@ -175,7 +175,8 @@ def test_longest_rule_and_subdomains(spark):
 
 def test_colliding_digests_are_told_apart(tmp_path):
     same = lambda b: 7
-    url_filter.DigestArray.write([("block", "a.com/x"), ("allow", "b.com/y")], str(tmp_path), digest=same)
+    for name, data in url_filter.DigestArray.files([("block", "a.com/x"), ("allow", "b.com/y")], digest=same).items():
+        (tmp_path / name).write_bytes(data)
     index = url_filter.DigestArray(str(tmp_path))
     assert index.judge([("a.com", "/x1"), ("b.com", "/y"), ("c.com", "/x")], digest=same) == [("a.com/x", False), ("b.com/y", True), (None, True)]
 
