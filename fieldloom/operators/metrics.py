@@ -41,8 +41,9 @@ def point_metrics(rows: DataFrame, keys: list[str], p: str = "p", y: str = "y",
 
 def report(rows: DataFrame, keys: list[str], p: str = "p", y: str = "y", threshold: float = 0.5) -> DataFrame:
     """All metrics of each group."""
-    points, ranks = point_metrics(rows, keys, p, y, threshold), ranking_metrics(rows, keys, p, y)
-    return points.join(ranks, keys) if keys else points.crossJoin(ranks)  # one row each
+    if not keys:
+        return report(rows.withColumn("_all", F.lit(0)), ["_all"], p, y, threshold).drop("_all")
+    return point_metrics(rows, keys, p, y, threshold).join(ranking_metrics(rows, keys, p, y), keys)
 
 
 def group_report(rows: DataFrame, key: str, least: int = 100, p: str = "p", y: str = "y") -> DataFrame:
@@ -59,8 +60,8 @@ def faulty(rows: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
 def calibration_curve(rows: DataFrame, bins: int = 10, p: str = "p", y: str = "y") -> DataFrame:
     """bin, n, mean_p, observed over quantile bins with exact (interpolated) edges; a value on an inner edge belongs to
     the bin it begins, edges that fall together leave bins out."""
-    edges = rows.agg(F.percentile(p, F.array(*(F.lit(i / bins) for i in range(1, bins)))).alias("edges"))
-    placed = rows.crossJoin(F.broadcast(edges)).select(F.size(F.filter("edges", lambda e: e <= F.col(p))).alias("bin"), F.col(p).alias("p"), F.col(y).cast("double").alias("y"))  # one row of edges
+    edges = rows.agg(F.percentile(p, F.array(*(F.lit(i / bins) for i in range(1, bins))))).scalar()
+    placed = rows.select(F.col(p).alias("p"), F.col(y).cast("double").alias("y"), edges.alias("edges")).withColumn("bin", F.size(F.filter("edges", lambda e: e <= F.col("p"))))
     return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("p").alias("mean_p"), F.avg("y").alias("observed"))
 
 
@@ -81,8 +82,9 @@ def cohort_means(rows: DataFrame, cohorts: dict, p: str = "p") -> DataFrame:
 def class_weights(rows: DataFrame, y: str) -> DataFrame:
     """Balanced weight of each class (n / (2 * n_class)) and the share of negatives to positives."""
     counts = rows.groupBy(F.col(y).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"), F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("pos"))
-    return counts.crossJoin(F.broadcast(total)).select("label", "n", (F.col("total") / (2 * F.col("n"))).alias("weight"), ((F.col("total") - F.col("pos")) / F.col("pos")).alias("scale_pos_weight"))
+    both = Window.partitionBy(F.lit(0))  # two rows
+    total = counts.withColumns({"total": F.sum("n").over(both), "pos": F.sum(F.when(F.col("label") == 1, F.col("n"))).over(both)})
+    return total.select("label", "n", (F.col("total") / (2 * F.col("n"))).alias("weight"), ((F.col("total") - F.col("pos")) / F.col("pos")).alias("scale_pos_weight"))
 
 
 def matrix_stats(rows: DataFrame, features: list[str], y: str) -> DataFrame:

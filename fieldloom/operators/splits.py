@@ -14,10 +14,10 @@ def ranked(matches: DataFrame, order: list[str], buckets: int = 64) -> DataFrame
     """split_order (zero-based) and total. Rows are ranged into ``buckets`` by the first order column, ranked in
     each, and each bucket's start is added, so no task sees all rows."""
     first = order[0]
-    edges = matches.agg(F.min(first).alias("low"), F.max(first).alias("high"))
-    as_number = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if dict(matches.dtypes)[first] in ("date", "timestamp", "timestamp_ntz") else F.col(c).cast("double")
-    share = (as_number(first) - as_number("low")) / F.greatest(as_number("high") - as_number("low"), F.lit(1))
-    rows = matches.crossJoin(F.broadcast(edges)).withColumn("_bucket", F.floor(share * (buckets - 1)).cast("int")).drop("low", "high")  # one row
+    as_number = lambda c: F.unix_micros(c.cast("timestamp")) if dict(matches.dtypes)[first] in ("date", "timestamp", "timestamp_ntz") else c.cast("double")
+    low, high = (matches.agg(as_number(edge(first))).scalar() for edge in (F.min, F.max))
+    share = (as_number(F.col(first)) - low) / F.greatest(high - low, F.lit(1))
+    rows = matches.withColumn("_bucket", F.floor(share * (buckets - 1)).cast("int"))
     sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.orderBy("_bucket")  # at most ``buckets`` rows
     starts = sizes.select("_bucket", (F.sum("_n").over(whole) - F.col("_n")).alias("_start"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("total"))
