@@ -8,12 +8,16 @@ darts of each of ``BANDS * ROWS`` coordinates the one of least rank is the signa
 coordinate with a probability equal to their weighted Jaccard similarity, and a text needs about
 k ln k darts in all, however large it is: heavier texts read fewer levels.
 
-Joining. Equal texts are one node (by md5). Nodes meet where a band of ``ROWS`` coordinates agrees.
- 1. In each bucket every node is paired with the bucket's least node only; pairs are verified by their whole shingle
-    sets and linked. A bucket of n nodes costs n pairs, so groups of copies never grow with their square.
- 2. Buckets that still hold more than one component are joined across components, so a link that no
-    bucket's least node shows is found too. Buckets of more than ``CROWD`` nodes ask for a second band in common
-    first (texts of similarity 0.8 share 8 of 20 bands on average), which parts texts that share just a passage.
+Joining. Equal texts are one node (by md5). Nodes meet where a band of ``ROWS`` coordinates agrees, and nothing
+grows with the square of a bucket.
+ 1. Fame of a node is how many nodes it meets over all bands. In each bucket every node is paired with the most
+    famous node and with one drawn by a hash of the bucket. Of a text and its many near copies the text itself meets
+    the most, so copies that are less alike among themselves than to it are all paired with it, in every band.
+ 2. Pairs are verified by their whole shingle sets and linked.
+ 3. Buckets that still hold several components: those of up to ``FEW`` nodes pair all nodes of different components;
+    larger ones choose a further center outside the most famous node's component and pair it with the nodes of
+    other components, ``TURNS`` times.
+
 Components are found by contracting minimum-neighbour links, all in joins; nothing is collected.
 
 At similarity 0.8 a pair meets in a band of 20 by 4 with probability 0.99997.
@@ -37,7 +41,8 @@ from pyspark.sql import functions as F
 from fieldloom.llm.common import WordTable, cut, slices
 
 BANDS, ROWS = 20, 4
-CROWD = 50
+FEW = 8  # nodes of a bucket whose pairs across components are all verified
+TURNS = 2
 SLICE = 2 << 20
 FIRST_LEVEL = 1 / 256  # rank width of the first level; the expected darts of a cell of weight 1 in it
 U = np.uint64
@@ -214,7 +219,7 @@ def _shingle_sets(texts: DataFrame, size: int, weighting: str) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, weighting: str, least: float) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose similarity is ``least`` or more. ``texts``: node, text."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = cut(_shingle_sets(texts.join(asked, "node", "left_semi").dropDuplicates(["node"]), size, weighting))
+    sets = cut(_shingle_sets(texts.join(asked, "node", "left_semi"), size, weighting))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,31 +258,39 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 5, weightin
     signed = cut(_signed(docs, id_col, text_col, size, weighting))
     nodes = signed.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
     buckets = nodes.select("node", F.explode("bands").alias("key"))
-    centers = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    crowded = cut(buckets.join(centers, "key"))  # the buckets of two nodes or more
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = cut(buckets.join(sizes, "key"))  # the buckets of two nodes or more
+    fame = shared.groupBy("node").agg(F.sum("n").alias("fame"))
+    shared = cut(shared.join(fame, "node").withColumn("luck", F.xxhash64("key", "node")))
     texts = docs.select(F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("node"), F.col(text_col).alias("text")).where("node is not null")
-    pairs = cut(crowded.where("node <> a").select("a", F.col("node").alias("b")).distinct())
-    linked = cut(_verified(pairs, texts, size, weighting, least))
-    members = crowded.select("node").distinct().select("node", F.col("node").alias("label"))
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))  # copies go before they meet
+
+    centers = shared.groupBy("key").agg(F.max(F.struct("fame", "node")).alias("f"), F.min(F.struct("luck", "node")).alias("l"))
+    centers = centers.select("key", F.explode(F.array_distinct(F.array("f.node", "l.node"))).alias("a"))
+    pairs = cut(shared.join(centers, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    linked = _verified(pairs, texts, size, weighting, least)
+    members = shared.select("node").distinct().select("node", F.col("node").alias("label"))
     labels = cut(components(members, linked))
 
-    open_ = crowded.select("key", "node").join(labels, "node")
-    mixed = open_.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count(F.lit(1)).alias("n")).where("l <> m").select("key", "n")
-    open_ = cut(open_.join(mixed, "key"))
-    if open_.head(1):
-        few = open_.where(F.col("n") <= CROWD).select(F.col("key").alias("k"), F.lit(0).cast("long").alias("k2"), "node", "label")
-        many = open_.where(F.col("n") > CROWD).select("key", "node", "label")
-        second = many.join(nodes, "node").select(F.col("key").alias("k"), F.explode("bands").alias("k2"), "node", "label", "key").where("k2 <> key").drop("key")
-        sides = few.unionByName(second)
-        x = sides.select("k", "k2", F.col("node").alias("a"), F.col("label").alias("la"))
-        y = sides.select("k", "k2", F.col("node").alias("b"), F.col("label").alias("lb"))
-        across = x.join(y, ["k", "k2"]).where("a < b and la <> lb").select("a", "b").distinct()
-        across = cut(across.join(pairs, ["a", "b"], "left_anti"))
+    for turn in range(TURNS):
+        open_ = shared.join(labels, "node")
+        mixed = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("fame", "label")).alias("main")).where("low <> high")
+        open_ = cut(open_.join(mixed.select("key", F.col("main.label").alias("main")), "key"))
+        if not open_.head(1):
+            break
+        few, many = open_.where(F.col("n") <= FEW), open_.where(F.col("n") > FEW)
+        rank = F.struct(-F.col("fame") if turn == 0 else F.xxhash64(F.lit(turn), "key", "node"), F.col("node"), F.col("label"))
+        chosen = many.where("label <> main").groupBy("key").agg(F.min(rank).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.label").alias("la"))
+        across = many.join(chosen, "key").where("label <> la").select("a", F.col("node").alias("b"))
+        if turn == 0:
+            x, y = few.select("key", F.col("node").alias("a"), F.col("label").alias("la")), few.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
+            across = across.unionByName(x.join(y, "key").where("a < b and la <> lb").select("a", "b"))
+        across = cut(across.distinct().join(pairs, ["a", "b"], "left_anti"))
         more = _verified(across, texts, size, weighting, least)
         la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        edges = more.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        labels = cut(components(labels, edges))
+        labels = cut(components(labels, more.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+        pairs = pairs.unionByName(across)
 
     rows = signed.select("id", "node").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("label"))
     classes = rows.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
