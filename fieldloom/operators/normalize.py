@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import canonical, clock_ms, clock_seconds, uuid_text
 from fieldloom.operators.rules import Rule, first_issue
-from fieldloom.operators.vocabulary import DETAIL_KEYS, ENDPOINT_TYPES, EVENT_TYPES, OUTCOME_IMPLICIT, OUTCOME_TYPES
+from fieldloom.operators.vocabulary import CHANCE_FIELD, DETAIL_KEYS, ENDPOINT_TYPES, EVENT_TYPES, OUTCOME_IMPLICIT, OUTCOME_TYPES
 
 
 class Json:
@@ -93,7 +93,7 @@ def events(raw: DataFrame) -> DataFrame:
 
     team, player, possession_team = v.at("$.team"), v.at("$.player"), v.at("$.possession_team")
     subtype, body, recipient, outcome = (detail.at(f"$.{k}") for k in ("type", "body_part", "recipient", "outcome"))
-    xg, duration, pattern, related = detail.at("$.statsbomb_xg"), v.at("$.duration"), v.at("$.play_pattern"), v.at("$.related_events")  # the format's field name
+    xg, duration, pattern, related = detail.at(f"$.{CHANCE_FIELD}"), v.at("$.duration"), v.at("$.play_pattern"), v.at("$.related_events")
     clock = v.at("$.timestamp")
     start_rules, x, y = _points(v.at("$.location"))
     end_rules, end_x, end_y = _points(detail.at("$.end_location"))

@@ -50,3 +50,5 @@ LOCATION_OPTIONAL = ("bad_behaviour", "half_end", "half_start", "injury_stoppage
 ACTIONABLE = ("pass", "dribble", "carry", "foul_committed", "duel", "interception", "shot", "own_goal_against", "goalkeeper", "clearance", "miscontrol")
 # Minute in which each period begins.
 PERIOD_START = {1: 0, 2: 45, 3: 90, 4: 105, 5: 120}
+# Fixed value: the format's field for the chance of a shot.
+CHANCE_FIELD = "statsbomb_xg"

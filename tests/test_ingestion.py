@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import hashing, text
 from fieldloom.operators import actions, features, normalize, rules, snapshots, validation
+from fieldloom.operators.vocabulary import CHANCE_FIELD
 from fieldloom.sources import json_arrays, tables
 
 ID = "13b63722-8099-4cdf-818a-d2df3036a63{}"
@@ -58,7 +59,7 @@ def test_first_failure_wins(spark):
 
 
 def test_shot_of_the_worked_example(spark):
-    shot = {"end_location": [120.0, 43.3, 1.4], "outcome": {"name": "Goal"}, "statsbomb_xg": 0.024477394}
+    shot = {"end_location": [120.0, 43.3, 1.4], "outcome": {"name": "Goal"}, CHANCE_FIELD: 0.024477394}
     r = normalize.events(raw(spark, [event(1, type={"name": "Shot"}, shot=shot, **{"pass": ...})])).head()
     assert r.outcome == "goal"
     assert (r.end_x, r.end_y, r.xg) == pytest.approx((100.0, 54.125, 0.024477394))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.operators import dataset, lineage, metrics, models, validation
+from fieldloom.operators.vocabulary import CHANCE_FIELD
 from fieldloom.plans import job
 from fieldloom.schemas import ACTIONS, problems
 from fieldloom.sources import tables
@@ -115,7 +116,7 @@ def raw_match(folder, match_id: int, day: int) -> None:
         team = 10 if (i // 6) % 2 == 0 else 20
         e = {"id": f"{match_id:08d}-0000-4000-8000-{i:012d}", "index": i, "period": 1, "timestamp": f"00:{i // 10:02d}:{i % 10 * 5:02d}.000", "minute": i // 10, "second": i % 10 * 5, "possession": i // 6 + 1, "possession_team": {"id": team, "name": "t"}, "play_pattern": {"id": 1, "name": "Regular Play"}, "team": {"id": team, "name": "t"}, "player": {"id": team * 10 + i % 3, "name": "p"}, "location": [rng.uniform(1, 119), rng.uniform(1, 79)]}
         if i % 10 == 7:
-            e |= {"type": {"name": "Shot"}, "shot": {"outcome": {"name": "Goal" if i % 20 == 7 else "Saved"}, "statsbomb_xg": 0.1, "end_location": [120, 40]}}
+            e |= {"type": {"name": "Shot"}, "shot": {"outcome": {"name": "Goal" if i % 20 == 7 else "Saved"}, CHANCE_FIELD: 0.1, "end_location": [120, 40]}}
         else:
             e |= {"type": {"name": "Pass"}, "pass": {"end_location": [rng.uniform(1, 119), rng.uniform(1, 79)], "body_part": {"name": "Head"}}}
         events.append(e)
