@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry, hashing, text
-from fieldloom.operators import labels, metrics, players, rules, snapshots, splits, states, valuation
+from fieldloom.operators import labels, metrics, players, rules, snapshots, splits, states, validation, valuation
 from fieldloom.plans.adapters import ACTIONS_SQL, GAP, actions_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -636,3 +636,104 @@ def one_hot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("split_fingerprint")
 def split_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.fingerprint(split_orders(spark, sf_dir))
+
+
+@query(
+    "match_duration",
+    "SELECT user_id AS match_id, max(CASE WHEN (day(ts) - 1) // 6 + 1 BETWEEN 1 AND 4 THEN hour(ts) * 60 + minute(ts) END) * 60 + 0 AS duration FROM events GROUP BY user_id",
+)
+def match_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("match_id"), (F.floor((F.dayofmonth("ts") - 1) / 6) + 1).alias("period"), (F.hour("ts") * 60 + F.minute("ts")).alias("minute"), F.lit(0).alias("second"))
+    return players.match_seconds(rows).withColumn("duration", F.col("duration").cast("long"))
+
+
+@query(
+    "soft_delete",
+    "SELECT c_custkey, c_custkey % 4 <> 0 AND c_custkey % 3 <> 0 AS is_active, CASE WHEN c_custkey % 4 <> 0 AND c_custkey % 3 = 0 THEN 7 END AS removed_ingestion_run_id FROM customer",
+)
+def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 4 != 0).alias("is_active"), F.lit(None).cast("timestamp").alias("removed_at"), F.lit(None).cast("int").alias("removed_ingestion_run_id"))
+    return snapshots.softly_deleted(rows, rows.where("c_custkey % 3 = 0"), ["c_custkey"], F.lit(7), F.current_timestamp()).drop("removed_at")
+
+
+@query(
+    "union_of_batches",
+    "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 = 1",
+)
+def union_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return snapshots.disjoint_union([rows.where("o_orderkey % 3 = 0"), rows.where("o_orderkey % 3 = 1")], ["o_orderkey"])
+
+
+@query(
+    "keys_reconciled",
+    "SELECT coalesce(o_orderkey, l_orderkey) AS k, CASE WHEN o_orderkey IS NULL THEN 'right' ELSE 'left' END AS side FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0) FULL OUTER JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR l_orderkey IS NULL",
+)
+def keys_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k"))
+    return validation.keys_reconciled(left, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct(), ["k"])
+
+
+@query(
+    "adequacy_gate",
+    f"""WITH {_SPLIT}, r AS (SELECT match_id, split, o_custkey % 7 AS competition_id, o_custkey % 11 AS season_id, o_custkey % 3 = 0 AS scores FROM split),
+      p AS (SELECT split, count(DISTINCT match_id) AS m, count(CASE WHEN scores THEN 1 END) AS s FROM r GROUP BY split)
+      SELECT count(DISTINCT match_id) AS matches, count(DISTINCT competition_id) AS competitions, count(DISTINCT (competition_id, season_id)) AS competition_seasons,
+        (SELECT count(*) FROM p) AS splits, (SELECT min(m) FROM p) AS least_split_matches, (SELECT min(s) FROM p) AS least_scores,
+        count(DISTINCT match_id) >= 1500 AND count(DISTINCT competition_id) >= 4 AND count(DISTINCT (competition_id, season_id)) >= 6 AND (SELECT count(*) FROM p) = 3
+          AND (SELECT min(m) FROM p) >= 75 AND (SELECT min(s) FROM p) >= 250 AS adequate FROM r""",
+)
+def adequacy_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split_orders(spark, sf_dir).select("match_id", "split", (F.col("customer") % 7).alias("competition_id"), (F.col("customer") % 11).alias("season_id"), (F.col("customer") % 3 == 0).alias("scores"))
+    return validation.adequacy(rows, ["scores"])
+
+
+@query(
+    "scalar_functions",
+    """SELECT event_id, CASE WHEN regexp_full_match(c, '[0-9]+:[0-5][0-9]') THEN CAST(string_split(c, ':')[1] AS INTEGER) * 60 + CAST(string_split(c, ':')[2] AS INTEGER) END AS seconds,
+        strftime(ts, '%Y-%m-%dT%H:%M:%S') AS started, round(ln(greatest(least(value / 500, 1 - 1e-7), 1e-7) / (1 - greatest(least(value / 500, 1 - 1e-7), 1e-7))), 8) AS logit,
+        abs(value - (value + 1e-9)) <= greatest(1e-10 * greatest(abs(value), abs(value + 1e-9)), 1e-8) AS close, event_id * 70 // 100 AS seventy
+      FROM (SELECT *, CAST(event_id % 130 AS VARCHAR) || ':' || lpad(CAST(event_id % 75 AS VARCHAR), 2, '0') AS c FROM events)""",
+)
+def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clock = F.concat_ws(":", (F.col("event_id") % 130).cast("string"), F.lpad((F.col("event_id") % 75).cast("string"), 2, "0"))
+    value = F.col("value")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        text.clock_seconds(clock).alias("seconds"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("started"),
+        F.round(text.logit(value / 500), 8).alias("logit"),
+        text.close(value, value + 1e-9, 1e-10, 1e-8).alias("close"),
+        F.expr("event_id * 70 div 100").alias("seventy"),
+    )
+
+
+@query(
+    "distinct_and_active_counts",
+    "SELECT o_orderstatus, count(DISTINCT o_custkey) AS customers, count(*) AS orders, coalesce(sum(CASE WHEN o_totalprice > 250000 THEN 1 END), 0)::BIGINT AS large, coalesce(max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END), -1) AS last_urgent FROM orders GROUP BY o_orderstatus",
+)
+def distinct_and_active_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.countDistinct("o_custkey").alias("customers"), F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_totalprice") > 250000).alias("large"), F.coalesce(F.max(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey"))), F.lit(-1)).alias("last_urgent"))
+
+
+@query(
+    "possession_order_faults",
+    """SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, o_totalprice, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS b FROM orders) WHERE b > o_totalprice""",
+)
+def possession_order_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before = F.lag("o_totalprice").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    return table(spark, sf_dir, "orders").withColumn("b", before).where("b > o_totalprice").select("o_custkey", "o_orderkey")
+
+
+@query(
+    "action_features",
+    f"""WITH {ACTIONS_SQL}, p AS (SELECT *, row_number() OVER ({_P}) AS n FROM actions),
+      s AS (SELECT *, coalesce(lag(time_seconds, 1) OVER ({_P}), first_value(time_seconds) OVER ({_P})) AS t1, coalesce(lag(time_seconds, 2) OVER ({_P}), first_value(time_seconds) OVER ({_P})) AS t2,
+        coalesce(lag(team_id, 1) OVER ({_P}), first_value(team_id) OVER ({_P})) AS m1, coalesce(lag(team_id, 2) OVER ({_P}), first_value(team_id) OVER ({_P})) AS m2 FROM p)
+      SELECT match_id, action_id, round(time_seconds - t1, 3) AS time_delta_1, round(time_seconds - t2, 3) AS time_delta_2, m1 = team_id AS team_1, m2 = team_id AS team_2 FROM s""",
+)
+def action_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = states.game_states(actions(spark, sf_dir), ["time_seconds", "team_id"])
+    delta = lambda k: F.round(F.col("time_seconds_a0") - F.col(f"time_seconds_a{k}"), 3).alias(f"time_delta_{k}")
+    same = lambda k: (F.col(f"team_id_a{k}") == F.col("team_id_a0")).alias(f"team_{k}")
+    return rows.select("match_id", "action_id", delta(1), delta(2), same(1), same(2))
