@@ -15,8 +15,8 @@ def ranked(matches: DataFrame, order: list[str], buckets: int = 64) -> DataFrame
     each, and each bucket's start is added, so no task sees all rows."""
     first = order[0]
     as_number = lambda c: F.unix_micros(c.cast("timestamp")) if dict(matches.dtypes)[first] in ("date", "timestamp", "timestamp_ntz") else c.cast("double")
-    low, high = (matches.agg(as_number(edge(first))).scalar() for edge in (F.min, F.max))
-    share = (as_number(F.col(first)) - low) / F.greatest(high - low, F.lit(1))
+    low, high = matches.agg(as_number(F.min(first)), as_number(F.max(first))).head()  # one row
+    share = (as_number(F.col(first)) - low) / max(high - low, 1) if high is not None else F.lit(0.0)
     rows = matches.withColumn("_bucket", F.floor(share * (buckets - 1)).cast("int"))
     sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.orderBy("_bucket")  # at most ``buckets`` rows

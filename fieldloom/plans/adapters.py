@@ -12,10 +12,10 @@ GAP = 43_200.0
 def actions_from_events(events: DataFrame) -> DataFrame:
     """A user is a match; acting team, period (a fifth of a month; the last is the shoot-out), goals and two
     probabilities come from the event's fields."""
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    order = Window.partitionBy("match_id").orderBy("ts", "event_id")
     value = F.col("value")
-    return events.select(
-        F.col("user_id").alias("match_id"),
+    return events.withColumnRenamed("user_id", "match_id").select(  # renamed first, so later windows reuse this partitioning
+        "match_id",
         (F.row_number().over(order) - 1).cast("long").alias("action_id"),
         "event_id",
         (F.get_json_object("props", "$.k").cast("int") % 2).alias("team_id"),
