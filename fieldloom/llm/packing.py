@@ -22,8 +22,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +39,23 @@ WORDS = 600_000
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "\u200b", "\ufeff", "<|")
 # Fixed values of the vocabulary's file: how it splits text.
 UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# The vocabulary shows each byte as one character: printable ones as they are, the others from 256 on, in order.
+SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 LATIN = re.compile("[!-\u012f\u0131-\u017e]+").fullmatch
 
 
+def units_of(word: str) -> list[str] | None:
+    """Units of a word of Latin letters, whose composed form is the word itself; null for other words."""
+    if not word.isascii() and not LATIN(word):
+        return None
+    low = word.lower()
+    if low.isalpha():
+        return [low]
+    if low[-1] in ".," and low[:-1].isalpha():
+        return [low[:-1], low[-1]]
+    return UNIT.findall(low)
+
+
 class Encoder:
     """Ids of texts as bytes of unsigned 32-bit numbers."""
 
@@ -53,9 +67,6 @@ class Encoder:
 
         self.tokenizer, self.units = Tokenizer.from_file(path), {}
         self.words, self.older = {}, {}  # two generations; what is asked for again moves on
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a unit
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -67,20 +78,13 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Enters ``words``. A word is units (letters, a digit, signs); new units are encoded in one text, and each ends
-        with an end-of-unit token. Words with letters beyond Latin are encoded by themselves."""
-        split = [UNIT.findall(normalize("NFC", x).lower()) if LATIN(x) else None for x in words]
-        units, known = self.units, self.words
-        new = list(set().union(*(x for x in split if x)).difference(units))
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids if new else [], "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(new):
-            data, at = ids.tobytes(), 0
-            for unit, end in zip(new, (cuts * 4).tolist(), strict=True):
-                units[unit] = data[at:end]
-                at = end
-        else:
-            units |= {x: self._whole(x) for x in new}
+        """Enters ``words``. A word is units (letters, a digit, signs), and new units go to the tokenizer's model. Words
+        with letters beyond Latin are encoded by themselves."""
+        split = [units_of(x) for x in words]
+        units, known, tokenize = self.units, self.words, self.tokenizer.model.tokenize
+        for unit in set().union(*(x for x in split if x)).difference(units):
+            shown = unit if unit.isascii() else unit.encode().decode("latin-1").translate(SHOWN)
+            units[unit] = array("I", [t.id for t in tokenize(shown)]).tobytes()
         for word, own in zip(words, split, strict=True):
             known[word] = self._whole(word) if own is None else units[own[0]] if len(own) == 1 else b"".join(map(units.__getitem__, own))
 
