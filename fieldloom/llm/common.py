@@ -75,7 +75,7 @@ class WordTable:
     """A number for each white-space-separated word, made once by ``make(word)`` and kept in two generations of
     ``limit`` words at most; what is asked for again moves to the younger one."""
 
-    def __init__(self, make: Callable[[str], int], limit: int = 400_000) -> None:
+    def __init__(self, make: Callable[[str], int], limit: int = 200_000) -> None:
         self.make, self.limit, self.known, self.older = make, limit, {}, {}
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:

@@ -43,7 +43,7 @@ from fieldloom.llm.common import WordTable, cut, slices
 BANDS, ROWS = 20, 4
 FEW = 8  # nodes of a bucket whose pairs across components are all verified
 TURNS = 2
-SLICE = 2 << 20
+SLICE = 1 << 20
 FIRST_LEVEL = 1 / 256  # rank width of the first level; the expected darts of a cell of weight 1 in it
 U = np.uint64
 

@@ -35,7 +35,7 @@ from fieldloom.llm.common import cut, slices
 
 CAPACITY = 4096
 GROUP = 20_000
-WORDS = 600_000
+WORDS = 250_000
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "\u200b", "\ufeff", "<|")
 # Fixed values of the vocabulary's file: how it splits text.
 UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
