@@ -34,7 +34,7 @@ from fieldloom.llm.common import WordTable, slices
 SIGNS = 28  # 0: boundary, 1-26: a-z, 27: any other letter
 ROWS = 1 << 22  # hashed rows of the words
 SLICE = 2 << 20
-MOST = 12_000  # labelled documents to learn from
+MOST = 6_000  # labelled documents to learn from
 # Letters that a sign is used for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l"}
 SEPARATORS = frozenset(".-_*~'`^,:;/\\ \u200b\xad")
@@ -266,20 +266,22 @@ class Judge:
         n = len(y)
         if not n:
             return cls(0.0, np.zeros(0, np.int64), np.zeros(0))
-        flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(n), [len(t) for t in texts])
-        rows, at = np.unique(flat, return_inverse=True)
-        seen = np.bincount(at, minlength=len(rows)).astype(np.float64)
-        bad = np.bincount(at, weights=y[owner], minlength=len(rows))
+        seen, bad = np.zeros(ROWS, np.int32), np.zeros(ROWS, np.int32)
+        for rows, label in zip(texts, y, strict=True):  # rows of a text are distinct
+            seen[rows] += 1
+            if label:
+                bad[rows] += 1
         share = y.mean()
-        chi = np.divide((bad - seen * share) ** 2, seen * max(share * (1 - share), 1e-9), out=np.zeros(len(rows)), where=seen > 0)
-        chosen = np.argsort(-np.where(seen >= 6, chi, -1), kind="stable")[:words]
-        chosen = chosen[(seen[chosen] >= 6) & (chi[chosen] > 30)]
-        place = np.full(len(rows), -1)
+        some = np.flatnonzero(seen >= 6)
+        chi = (bad[some] - seen[some] * share) ** 2 / (seen[some] * max(share * (1 - share), 1e-9))
+        chosen = some[np.argsort(-chi, kind="stable")[:words]]
+        chosen = chosen[np.sort(-chi, kind="stable")[:words] < -30]
+        place = np.full(ROWS, -1, np.int32)
         place[chosen] = np.arange(len(chosen))
-        inside = place[at] >= 0
         x = np.zeros((n, len(chosen) + 1))
-        x[owner[inside], place[at[inside]]] = 1
+        for i, rows in enumerate(texts):
+            at = place[rows]
+            x[i, at[at >= 0]] = 1
         x[:, -1] = 1
         w = np.zeros(x.shape[1])
         prior = np.full(len(w), decay)
@@ -291,7 +293,7 @@ class Judge:
             w -= step
             if np.abs(step).max() < 1e-6:
                 break
-        return cls(float(w[-1]), rows[chosen], w[:-1])
+        return cls(float(w[-1]), chosen, w[:-1])
 
 
 def train(docs: DataFrame, sample: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most: int = MOST) -> Judge:
@@ -307,10 +309,12 @@ def train(docs: DataFrame, sample: DataFrame, model: Model, id_col: str = "doc_i
 
     found = docs.select(id_col, text_col).join(F.broadcast(sample), id_col).select(text_col, "label").mapInArrow(run, "x binary, label int").limit(2 * most).toArrow()
     once: dict[bytes, int] = {}
-    for x, label in zip(found.column("x").to_pylist(), found.column("label").to_pylist(), strict=True):
-        once[x] = max(label, once.get(x, 0))
+    for x, label in zip(found.column("x"), found.column("label").to_pylist(), strict=True):
+        key = x.as_py()
+        once[key] = max(label, once.get(key, 0))
+    del found
     keys = sorted(once)
-    return Judge.fit([np.frombuffer(k, np.int32).astype(np.int64) for k in keys], np.array([once[k] for k in keys]))
+    return Judge.fit([np.frombuffer(k, np.int32) for k in keys], np.array([once[k] for k in keys]))
 
 
 def score(docs: DataFrame, model: Model, judge: Judge, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
