@@ -17,8 +17,14 @@ grows with the square of a bucket.
  3. Buckets that still hold several components: those of up to ``FEW`` nodes pair all nodes of different components;
     larger ones choose a further center outside the most famous node's component and pair it with the nodes of
     other components, ``TURNS`` times.
+ 4. The nodes of larger buckets that hold several components even then are joined by their rare shingles, exactly
+    (prefix filter): with shingles ordered from rare to common, the first one that two texts share stands where either
+    still has as much weight ahead as the two must have in common. Each text gives these first shingles for every class
+    of sizes a partner can have; texts of different components that share one are verified, unless the weight ahead of
+    it is too little. Shingles that many texts give are dealt out by a salt; no pair is left out.
 
-Components are found by contracting minimum-neighbour links, all in joins; nothing is collected.
+Components are found by contracting minimum-neighbour links, all in joins; only the ``COMMON`` most common shingles
+of step 4 are collected, for their order.
 
 At similarity 0.8 a pair meets in a band of 20 by 4 with probability 0.99997.
 
@@ -43,6 +49,10 @@ from fieldloom.llm.common import WordTable, cut, slices
 BANDS, ROWS = 20, 4
 FEW = 8  # nodes of a bucket whose pairs across components are all verified
 TURNS = 2
+COMMON = 1 << 20  # shingles of several components that are ordered by frequency; rarer ones come first, ordered by their hashes
+STEP = 1.04  # ratio of neighbouring size classes
+SALT = 2048  # rows of a shingle in one part
+STARTS = np.unique(np.floor(STEP ** np.arange(900)).astype(np.int64))  # least size of each class
 SLICE = 1 << 20
 FIRST_LEVEL = 1 / 256  # rank width of the first level; the expected darts of a cell of weight 1 in it
 U = np.uint64
@@ -219,7 +229,11 @@ def _shingle_sets(texts: DataFrame, size: int, weighting: str) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, weighting: str, least: float) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose similarity is ``least`` or more. ``texts``: node, text."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = cut(_shingle_sets(texts.join(asked, "node", "left_semi"), size, weighting))
+    return _verified_by(cut(_shingle_sets(texts.join(asked, "node", "left_semi"), size, weighting)), pairs, least)
+
+
+def _verified_by(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The same by ``sets`` (node, keys, weights)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,6 +251,68 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, weighting: str, lea
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ka", "wa", "kb", "wb").mapInArrow(run, "a binary, b binary")
 
 
+def first_shingles(keys: np.ndarray, weights: np.ndarray, rank: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(shingle, class of the partner's size, weight from the shingle on) of those that can be the first one in common
+    with a text of similarity ``least``, in the order of ``rank``, and the text's own class."""
+    order = np.lexsort((keys, rank))
+    keys, ahead = keys[order], np.cumsum(weights[order][::-1])[::-1]
+    size = ahead[0]
+    own, low, high = (int(np.searchsorted(STARTS, x, side="right")) - 1 for x in (size, np.ceil(least * size - 1e-6), size / least + 1e-6))
+    others = np.arange(low, high + 1)
+    need = least / (1 + least) * (size + np.maximum(STARTS[others], least * size)) - 1e-6
+    n = np.searchsorted(-ahead, -need, side="right")
+    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return keys[at], np.repeat(others, n), ahead[at], own
+
+
+def _alike_by_rare_shingles(sets: DataFrame, least: float) -> DataFrame:
+    """Pairs (a < b) of nodes of different labels: all of similarity ``least`` or more, and some others. ``sets``: node,
+    keys, weights, label."""
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            mark = np.repeat(batch.column(1).to_numpy(), [len(x) // 8 for x in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(keys), np.int64)), pa.array(mark)], names=["key", "mark"])
+
+    # what only one component has can't be in common with another
+    counts = sets.select("keys", F.xxhash64("label").alias("mark")).mapInArrow(every, "key long, mark long").groupBy("key")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high")
+    common = counts.orderBy(F.desc("n"), "key").limit(COMMON).select("key").toArrow().column(0).to_numpy()[::-1].view(U)
+    place = np.argsort(common)
+    shared = sets.sparkSession.sparkContext.broadcast((common[place], place + 1, len(common) < COMMON))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, place, whole = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                node, keys, weights, label = (c[i].as_py() for c in batch.columns)
+                keys = np.frombuffer(keys, U)
+                weights = np.frombuffer(weights, np.float32).astype(np.float64) if weights else np.ones(len(keys))
+                rank = np.zeros(len(keys), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                    rank = np.where(known[at] == keys, place[at], 0)
+                first, other, ahead, own = first_shingles(keys, weights, rank, least)
+                if whole:  # others than the known ones have one component
+                    some = np.isin(first, known)
+                    first, other, ahead = first[some], other[some], ahead[some]
+                n = len(first)
+                columns = [first.view(np.int64), np.minimum(other, own).astype(np.int32), np.maximum(other, own).astype(np.int32), np.full(n, own, np.int32), np.full(n, weights.sum()), ahead]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([node] * n, pa.binary()), pa.array([label] * n, pa.binary())], names=["key", "lo", "hi", "own", "size", "ahead", "node", "label"])
+
+    by = ["key", "lo", "hi"]
+    rows = cut(sets.select("node", "keys", "weights", "label").mapInArrow(run, "key long, lo int, hi int, own int, size double, ahead double, node binary, label binary"))
+    held = rows.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("n")).groupBy(by).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label"))["label"].alias("main"))
+    held = held.where("labels > 1").select(*by, "main", F.ceil(F.col("n") / SALT).cast("int").alias("parts"))
+    met = cut(rows.join(held, by))
+    x = met.where("label <> main").select(*by, F.pmod(F.xxhash64("node"), "parts").cast("int").alias("salt"), *(F.col(c).alias(f"{c}_x") for c in ("own", "size", "ahead", "node", "label")))
+    y = met.select(*by, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "own", "size", "ahead", "node", "label")
+    sides = F.expr("(own_x = lo and own = hi) or (own_x = hi and own = lo)")
+    enough = F.least("ahead_x", "ahead") >= least / (1 + least) * (F.col("size_x") + F.col("size")) - 1e-6
+    return x.join(y, [*by, "salt"]).where((F.col("label_x") != F.col("label")) & sides & enough).select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
+
+
 def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (node, label) with labels merged along ``edges`` (a, b between labels); the least of each component
     stays. Each round every label moves to its least neighbour's, and edges are contracted, until none is left."""
@@ -272,6 +348,11 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 5, weightin
     members = shared.select("node").distinct().select("node", F.col("node").alias("label"))
     labels = cut(components(members, linked))
 
+    def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        return cut(components(labels, more.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+
     for turn in range(TURNS):
         open_ = shared.join(labels, "node")
         mixed = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("fame", "label")).alias("main")).where("low <> high")
@@ -286,12 +367,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 5, weightin
             x, y = few.select("key", F.col("node").alias("a"), F.col("label").alias("la")), few.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
             across = across.unionByName(x.join(y, "key").where("a < b and la <> lb").select("a", "b"))
         across = cut(across.distinct().join(pairs, ["a", "b"], "left_anti"))
-        more = _verified(across, texts, size, weighting, least)
-        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        labels = cut(components(labels, more.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+        labels = joined(labels, _verified(across, texts, size, weighting, least))
         pairs = pairs.unionByName(across)
 
+    open_ = shared.where(F.col("n") > FEW).join(labels, "node")
+    mixed = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    open_ = cut(open_.join(mixed, "key").select("node", "label").distinct())
+    if open_.head(1):
+        known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        sets = cut(_shingle_sets(texts.join(open_, "node", "left_semi"), size, weighting).join(open_, "node"))
+        across = cut(_alike_by_rare_shingles(sets, least).join(known, ["a", "b"], "left_anti"))
+        labels = joined(labels, _verified_by(sets, across, least))
+
     rows = signed.select("id", "node").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("label"))
     classes = rows.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
     return rows.join(classes, "label", "left").select(F.col("id").alias(id_col), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"))

@@ -148,6 +148,63 @@ def test_links_that_no_center_shows(spark):
     assert got == {0}
 
 
+def alike_in_family(rows):
+    """Classes of ``rows`` by the similarity of every pair, for texts without copies."""
+    sets = [set(neardup.Shingler(5, "presence").sets([text])[1].tolist()) for _, text in rows]
+    counts = Counter(s for x in sets for s in x)
+    column = {s: i for i, s in enumerate(s for s, n in counts.items() if n > 1)}
+    held = np.zeros((len(rows), len(column)), np.float32)
+    for i, x in enumerate(sets):
+        held[i, [column[s] for s in x if s in column]] = 1
+    both, size = held @ held.T, np.array([len(x) for x in sets])
+    alike = np.triu(both / (size[:, None] + size - both) >= 0.8, 1)
+    assert 0.74 < np.median(both / (size[:, None] + size - both)) < 0.76
+    top = list(range(len(rows)))
+    for i, j in zip(*np.nonzero(alike), strict=True):
+        top = [top[i] if x == top[j] else x for x in top]
+    least = {}
+    for (doc_id, _), x in zip(rows, top, strict=True):
+        least[x] = min(least.get(x, doc_id), doc_id)
+    return {doc_id: least[x] for (doc_id, _), x in zip(rows, top, strict=True)}
+
+
+def test_pairs_inside_a_family_are_brute_force(spark):
+    rng = random.Random(7)
+    fresh = iter(range(10**6))
+    passage = [f"p{i}" for i in range(124)]
+    rows = []
+    for pair in range(1100):  # two texts of 0.75 share the passage; the two of the first 300 pairs half of their ends, too
+        half = [f"h{next(fresh)}" for _ in range(10)]
+        for _ in range(2):
+            end = (half if pair < 300 else [f"w{next(fresh)}" for _ in range(10)]) + [f"w{next(fresh)}" for _ in range(10 + rng.randint(-1, 1))]
+            rows.append((len(rows), " ".join(passage + end)))
+    want = alike_in_family(rows)
+    assert len(set(want.values())) == 2200 - 300
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_first_shingles_meet_whatever_the_weights():
+    rng = np.random.default_rng(2)
+    met = 0
+    for _ in range(3000):
+        keys = np.arange(rng.integers(1, 90), dtype=np.uint64)
+        rank = rng.permutation(len(keys) + 30)
+        a, b = keys[rng.random(len(keys)) < 0.97], np.concatenate([keys[rng.random(len(keys)) < 0.95], np.arange(len(keys), len(keys) + rng.integers(0, 9), dtype=np.uint64)])
+        wa, wb = (rng.integers(1, 4, len(keys) + 30) if rng.random() < 0.5 else np.ones(len(keys) + 30) for _ in range(2))
+        wb = wa if rng.random() < 0.5 else wb
+        wa, wb = wa[a.astype(int)].astype(float), wb[b.astype(int)].astype(float)
+        if not len(a) or neardup.similarity(a, wa, b, wb) < 0.8:
+            continue
+        met += 1
+        ka, oa, ra, ca = neardup.first_shingles(a, wa, rank[a.astype(int)], 0.8)
+        kb, ob, rb, cb = neardup.first_shingles(b, wb, rank[b.astype(int)], 0.8)
+        left = {int(k): r for k, o, r in zip(ka, oa, ra, strict=True) if o == cb}
+        right = {int(k): r for k, o, r in zip(kb, ob, rb, strict=True) if o == ca}
+        assert any(min(left[k], right[k]) >= 0.8 / 1.8 * (wa.sum() + wb.sum()) - 1e-6 for k in left.keys() & right.keys())
+    assert met > 300
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = {(r.doc_id, r.class_id) for r in neardup.near_duplicates(odd_docs(spark)).collect()}
     assert {(1, 1), (2, 2), (5, 5), (None, None)} <= got
