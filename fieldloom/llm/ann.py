@@ -17,7 +17,7 @@ Bounds: the driver holds the sample; what is broadcast is the classifier.
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, or don't have the most
 frequent length take no part, neither as query nor as candidate, and so do null ids. Ties go to the smaller id.
 Fewer candidates than ``k`` in the parts asked: the query is asked of all parts. A query never finds its own id.
-Repeated rows are candidates each. Other columns, whatever their names, are not looked at.
+Repeated rows are candidates each, and ask once; of an id with several vectors, each vector has its own ranks. Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -145,13 +145,20 @@ def learn(x: np.ndarray, parts: int, k: int, seed: int = 0) -> tuple[Router, int
 
 
 def nearest(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, candidate id, inner product) of the ``k`` nearest of each query."""
+    """(place of the query, candidate id, inner product) of the ``k`` nearest of each query."""
     order = np.argsort(c_ids, kind="stable")
     c, c_ids = c[order], c_ids[order]
-    _, same = np.unique(c, axis=0, return_inverse=True)  # equal vectors: only the k + 1 smallest ids can count
+    _, same = np.unique(c, axis=0, return_inverse=True)  # equal vectors: only the k smallest ids without a query's own can count
     by = np.argsort(same, kind="stable")
-    rank = np.arange(len(by)) - np.searchsorted(same[by], same[by])
-    keep = np.sort(by[rank <= k])
+    group, own = same[by], c_ids[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (group[1:] != group[:-1]) | (own[1:] != own[:-1])
+    copy = np.arange(len(by)) - np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+    by, group, copy = by[copy < k], group[copy < k], copy[copy < k]
+    rank = np.arange(len(by)) - np.searchsorted(group, group)
+    most = np.maximum.accumulate(group * (k + 2) + copy + 1) - group * (k + 2)  # rows of one id so far
+    before = np.where(rank > 0, np.concatenate([[0], most[:-1]]), 0)
+    keep = np.sort(by[rank - before < k])
     c, c_ids = c[keep], c_ids[keep]
     found = []
     for at in range(0, len(q), 256):
@@ -168,7 +175,7 @@ def nearest(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray,
         order = np.lexsort((c_ids[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         top = np.arange(len(i)) - np.searchsorted(i, i) < k
-        found.append((ids[i[top]], c_ids[j[top]], score[top]))
+        found.append((at + i[top], c_ids[j[top]], score[top]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
@@ -203,11 +210,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
 
     filed = cut(rows.mapInArrow(route, "id long, v array<double>, part int, ask array<int>"))
     held = {r.part: r.n for r in filed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each part
-    # as many parts as were learned to be enough, and more until they hold k candidates besides the query itself
+    # as many parts as were learned to be enough, and more until they hold k candidates besides the query's own rows
     size_of = F.create_map(*[F.lit(x) for p, m in held.items() for x in (p, m)])
     before = F.transform(F.sequence(F.lit(1), F.size("ask")), lambda i: F.aggregate(F.slice("ask", F.lit(1), i - 1), F.lit(0).cast("long"), lambda s, p: s + F.coalesce(size_of[p], F.lit(0).cast("long"))))
-    asking = filed.where(F.size("ask") > 0).withColumn("before", before)
-    asking = asking.select("id", "v", F.explode(F.filter(F.arrays_zip("ask", "before"), lambda z: F.array_contains(F.slice("ask", 1, asked), z["ask"]) | (z["before"] <= k))["ask"]).alias("part"))
+    asking = filed.where(F.size("ask") > 0).groupBy("id", "v").agg(F.first("ask").alias("ask"), F.count(F.lit(1)).alias("own"))  # repeated rows ask once
+    asking = asking.withColumn("own", F.sum("own").over(Window.partitionBy("id"))).withColumn("before", before)
+    asking = asking.select("id", "v", F.xxhash64("v").alias("mark"), F.explode(F.filter(F.arrays_zip("ask", "before"), lambda z: F.array_contains(F.slice("ask", 1, asked), z["ask"]) | (z["before"] < k + F.col("own")))["ask"]).alias("part"))
     asking = cut(asking)
     wanted = {r.part: r.n for r in asking.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = {p: -(-m // BLOCK) for p, m in held.items()}
@@ -220,15 +228,16 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     spread = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "id"), count).cast("int")
     to_all = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
     candidates = filed.where(F.col("part").isin(both)).select("id", "v", "part", spread(1, block).alias("b"), turn.alias("t_n")).select("id", "v", "part", "b", to_all(F.col("t_n")).alias("t"))
-    questions = asking.where(F.col("part").isin(both)).select("id", "v", "part", spread(2, turn).alias("t"), block.alias("b_n")).select("id", "v", "part", "t", to_all(F.col("b_n")).alias("b"))
+    questions = asking.where(F.col("part").isin(both)).select("id", "v", "mark", "part", spread(2, turn).alias("t"), block.alias("b_n")).select("id", "v", "mark", "part", "t", to_all(F.col("b_n")).alias("b"))
 
     def rank(asks: pa.Table, has: pa.Table) -> pa.Table:
         q, i, s = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         if asks.num_rows and has.num_rows:
             q, i, s = nearest(_matrix(asks.column("v")), asks.column("id").to_numpy(), _matrix(has.column("v")), has.column("id").to_numpy(), k)
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.float64())})
+        q = pa.array(q, pa.int64())
+        return pa.table({"query_id": asks.column("id").take(q), "mark": asks.column("mark").take(q), "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.float64())})
 
     keys = ["part", "b", "t"]
-    found = questions.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(rank, "query_id long, vec_id long, score double")
-    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = questions.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(rank, "query_id long, mark long, vec_id long, score double")
+    first = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -367,6 +367,24 @@ def brute_nearest(ids, x, query, k):
     return [i for _, i in sorted(scores)[:k]]
 
 
+def test_neighbours_of_repeated_rows_are_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).round(2).tolist()) for i in range(60)]
+    rows += [rows[0]] * 2 + [(0, rows[1][1])]
+    same = [3.0, 3.0, 3.0, 3.0]
+    rows += [(20, same)] * 4 + [(i, same) for i in range(100, 140)] + [(101, same)] * 7
+    rows = [r for r in rows if r != rows[20]]
+    got = defaultdict(list)
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id").isin(0, 20, 101), 5).collect():
+        got[r.query_id].append((r.rank, r.vec_id, round(r.score, 6)))
+    for q in (0, 20, 101):
+        want = []
+        for v in {tuple(v) for i, v in rows if i == q}:
+            ranked = sorted((-round(float(np.dot(v, w)), 6), i) for i, w in rows if i != q)[:5]
+            want += [(n, i, -s) for n, (s, i) in enumerate(ranked, 1)]
+        assert sorted(got[q]) == sorted(want)
+
+
 @needs_data
 def test_recall(spark):
     got = defaultdict(list)
