@@ -47,6 +47,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Written tables in the shared folder: each cuts lineage, survives lost executors and can be deleted once what was
+    made from it is written, too."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.paths = spark, scratch(spark, "tables"), {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` computed once; a name that stands already gets its new table beside the old one, which goes."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            if name in self.paths:
+                path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null ids fall in no fold (null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

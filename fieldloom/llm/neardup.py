@@ -10,21 +10,20 @@ k ln k darts in all, however large it is: heavier texts read fewer levels.
 
 Joining. Equal texts are one node (by md5). Nodes meet where a band of ``ROWS`` coordinates agrees, and nothing
 grows with the square of a bucket.
- 1. Fame of a node is how many nodes it meets over all bands. In each bucket every node is paired with the most
-    famous node and with one drawn by a hash of the bucket. Of a text and its many near copies the text itself meets
-    the most, so copies that are less alike among themselves than to it are all paired with it, in every band.
+ 1. Band rows are dealt out by ranges of (band, node), so a bucket that many nodes share spreads over several tasks.
+    Fame of a node is how many nodes it meets over all bands. Dealt anew by (band, fame), every node of a bucket is
+    paired with the most famous node of its task, and these with the most famous node of the whole bucket. Of a text
+    and its many near copies the text itself meets the most, so copies that are less alike among themselves than to
+    it are all paired with it, in every band.
  2. Pairs are verified by their whole shingle sets and linked.
- 3. Buckets that still hold several components: those of up to ``FEW`` nodes pair all nodes of different components;
-    larger ones choose a further center outside the most famous node's component and pair it with the nodes of
-    other components, ``TURNS`` times.
- 4. The nodes of larger buckets that hold several components even then are joined by their rare shingles, exactly
-    (prefix filter): with shingles ordered from rare to common, the first one that two texts share stands where either
-    still has as much weight ahead as the two must have in common. Each text gives these first shingles for every class
-    of sizes a partner can have; texts of different components that share one are verified, unless the weight ahead of
-    it is too little. Shingles that many texts give are dealt out by a salt; no pair is left out.
+ 3. The nodes of buckets of three or more that still hold several components are joined by their rare shingles, exactly
+    (prefix filter): with shingles ordered from rare to common, the first one that two texts share stands where the
+    larger text still has ``least`` of its weight ahead, and the smaller one 2 * least / (1 + least). Texts of different
+    components that share such a shingle are verified, unless the weight ahead of it is too little. Shingles that many
+    texts give are dealt out by a salt; no pair is left out. A bucket of two is decided by step 2.
 
 Components are found by contracting minimum-neighbour links, all in joins; only the ``COMMON`` most common shingles
-of step 4 are collected, for their order.
+of step 3 are collected, for their order. A label is (least id, node), so the label a component ends with names its class.
 
 At similarity 0.8 a pair meets in a band of 20 by 4 with probability 0.99997.
 
@@ -44,15 +43,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import WordTable, cut, slices
+from fieldloom.llm.common import Tables, WordTable, slices
 
 BANDS, ROWS = 20, 4
-FEW = 8  # nodes of a bucket whose pairs across components are all verified
-TURNS = 2
 COMMON = 1 << 20  # shingles of several components that are ordered by frequency; rarer ones come first, ordered by their hashes
-STEP = 1.04  # ratio of neighbouring size classes
 SALT = 2048  # rows of a shingle in one part
-STARTS = np.unique(np.floor(STEP ** np.arange(900)).astype(np.int64))  # least size of each class
 SLICE = 1 << 20
 FIRST_LEVEL = 1 / 256  # rank width of the first level; the expected darts of a cell of weight 1 in it
 U = np.uint64
@@ -206,8 +201,11 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, size: int, weighting: s
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bands], names=["id", "node", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("node"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, node binary, bands array<long>")
+    return _named(docs, id_col, text_col).mapInArrow(run, f"id {kind}, node binary, bands array<long>")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("node"), F.col(text_col).alias("text"))
 
 
 def _shingle_sets(texts: DataFrame, size: int, weighting: str) -> DataFrame:
@@ -226,14 +224,80 @@ def _shingle_sets(texts: DataFrame, size: int, weighting: str) -> DataFrame:
     return texts.mapInArrow(run, "node binary, keys binary, weights binary")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, weighting: str, least: float) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose similarity is ``least`` or more. ``texts``: node, text."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    return _verified_by(cut(_shingle_sets(texts.join(asked, "node", "left_semi"), size, weighting)), pairs, least)
-
-
-def _verified_by(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """The same by ``sets`` (node, keys, weights)."""
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool, bool]]:
+    """Ordered rows in parts that hold all of a task's rows of their keys (column 0); whether it is the first, the last part."""
+    held: list[pa.RecordBatch] = []
+    first, key = True, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy()
+        at = int(np.searchsorted(keys, keys[-1]))
+        if at or key != keys[0]:
+            if at:
+                held.append(batch.slice(0, at))
+            if held:
+                yield pa.Table.from_batches(held), first, False
+                first = False
+            held, key = [], keys[-1]
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held), first, True
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, node, n (nodes of the key in this task) where others share the key; a task's first and last key may go on in others."""
+    for part, first, last in _whole_keys(batches):
+        keys = part.column(0).to_numpy()
+        start = _starts(keys)
+        count = np.diff(np.append(start, len(keys)))
+        some = count > 1
+        some[0] |= first
+        some[-1] |= last
+        rows = pa.array(np.flatnonzero(np.repeat(some, count)))
+        found = part.take(rows).combine_chunks()
+        yield from found.append_column("n", pa.array(np.repeat(count, count)[rows], pa.int32())).to_batches()
+
+
+def _centered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of each node with the first one of its key in this task; with a null b: that one, its fame and the
+    key, where the key may go on in other tasks."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("key", pa.int64()), ("fame", pa.int64())])
+    for part, first, last in _whole_keys(batches):
+        part = part.combine_chunks()
+        keys, node = part.column(0).to_numpy(), part.column(2)
+        start = _starts(keys)
+        lead = np.repeat(start, np.diff(np.append(start, len(keys))))
+        others = np.flatnonzero(lead != np.arange(len(keys)))
+        edge = pa.array(np.unique(np.concatenate([start[: int(first)], start[len(start) - int(last) :]])), pa.int64())
+        none = pa.nulls(len(others), pa.int64())
+        pairs = [node.take(pa.array(lead[others])), node.take(pa.array(others)), none, none]
+        heads = [node.take(edge), pa.nulls(len(edge), pa.binary()), part.column(0).take(edge), part.column(1).take(edge)]
+        for columns in (pairs, heads):
+            yield from pa.Table.from_arrays(columns, schema=schema).to_batches()
+
+
+def _paired(nodes: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """key, fame, node of the buckets that several ``nodes`` share, and pairs (a, b) of their centers and nodes."""
+    rows = nodes.select(F.explode("bands").alias("key"), "node").repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    met = rows.mapInArrow(_meeting, "key long, node binary, n int")
+    met = tables.keep(met.groupBy("node").agg(F.sum("n").alias("fame"), F.collect_list("key").alias("keys")), "met")  # BANDS keys at most
+    shared = met.select(F.explode("keys").alias("key"), "fame", "node")
+    dealt = shared.repartitionByRange(F.col("key"), F.desc("fame"), F.col("node")).sortWithinPartitions(F.col("key"), F.desc("fame"), F.col("node"))
+    found = tables.keep(dealt.mapInArrow(_centered, "a binary, b binary, key long, fame long"), "found")
+    heads = found.where("b is null").select("key", "fame", "a")
+    best = heads.groupBy("key").agg(F.max(F.struct("fame", "a")).alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.col("top.a").alias("t"))
+    pairs = found.where("b is not null").select("a", "b").unionByName(heads.join(best, "key").where("a <> t").select(F.col("t").alias("a"), F.col("a").alias("b")))
+    return shared, tables.keep(pairs.distinct(), "pairs")
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` whose similarity is ``least`` or more. ``sets``: node, keys, weights. What many pairs
+    have in common is their a; it is looked up first, while rows are short."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,26 +312,21 @@ def _verified_by(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("keys").alias("ka"), F.col("weights").alias("wa"))
     right = sets.select(F.col("node").alias("b"), F.col("keys").alias("kb"), F.col("weights").alias("wb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ka", "wa", "kb", "wb").mapInArrow(run, "a binary, b binary")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ka", "wa", "kb", "wb").mapInArrow(run, "a binary, b binary")
 
 
-def first_shingles(keys: np.ndarray, weights: np.ndarray, rank: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(shingle, class of the partner's size, weight from the shingle on) of those that can be the first one in common
-    with a text of similarity ``least``, in the order of ``rank``, and the text's own class."""
+def first_shingles(keys: np.ndarray, weights: np.ndarray, rank: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle, weight from it on, small) of those that can be the first one, in the order of ``rank``, in common with a text
+    of similarity ``least``: with any text, or (``small``) also with one that is no smaller."""
     order = np.lexsort((keys, rank))
-    keys, ahead = keys[order], np.cumsum(weights[order][::-1])[::-1]
-    size = ahead[0]
-    own, low, high = (int(np.searchsorted(STARTS, x, side="right")) - 1 for x in (size, np.ceil(least * size - 1e-6), size / least + 1e-6))
-    others = np.arange(low, high + 1)
-    need = least / (1 + least) * (size + np.maximum(STARTS[others], least * size)) - 1e-6
-    n = np.searchsorted(-ahead, -need, side="right")
-    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return keys[at], np.repeat(others, n), ahead[at], own
+    ahead = np.cumsum(weights[order][::-1])[::-1]
+    n = int(np.searchsorted(-ahead, -(least * ahead[0] - 1e-6), side="right"))
+    return keys[order[:n]], ahead[:n], ahead[:n] >= 2 * least / (1 + least) * ahead[0] - 1e-6
 
 
-def _alike_by_rare_shingles(sets: DataFrame, least: float) -> DataFrame:
-    """Pairs (a < b) of nodes of different labels: all of similarity ``least`` or more, and some others. ``sets``: node,
-    keys, weights, label."""
+def _alike_by_rare_shingles(sets: DataFrame, least: float, tables: Tables) -> DataFrame:
+    """Pairs (a < b) of nodes of different marks: all of similarity ``least`` or more, and some others. ``sets``: node,
+    keys, weights, mark (of the component)."""
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,119 +335,120 @@ def _alike_by_rare_shingles(sets: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(keys), np.int64)), pa.array(mark)], names=["key", "mark"])
 
     # what only one component has can't be in common with another
-    counts = sets.select("keys", F.xxhash64("label").alias("mark")).mapInArrow(every, "key long, mark long").groupBy("key")
+    counts = sets.select("keys", F.xxhash64("mark").alias("mark")).mapInArrow(every, "key long, mark long").groupBy("key")
     counts = counts.agg(F.count(F.lit(1)).alias("n"), F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high")
     common = counts.orderBy(F.desc("n"), "key").limit(COMMON).select("key").toArrow().column(0).to_numpy()[::-1].view(U)
     place = np.argsort(common)
-    shared = sets.sparkSession.sparkContext.broadcast((common[place], place + 1, len(common) < COMMON))
+    order = sets.sparkSession.sparkContext.broadcast((common[place], place + 1, len(common) < COMMON))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, place, whole = shared.value
+        known, place, whole = order.value
         for batch in batches:
             for i in range(batch.num_rows):
-                node, keys, weights, label = (c[i].as_py() for c in batch.columns)
+                node, keys, weights, mark = (c[i].as_py() for c in batch.columns)
                 keys = np.frombuffer(keys, U)
+                if not len(keys):
+                    continue
                 weights = np.frombuffer(weights, np.float32).astype(np.float64) if weights else np.ones(len(keys))
                 rank = np.zeros(len(keys), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                     rank = np.where(known[at] == keys, place[at], 0)
-                first, other, ahead, own = first_shingles(keys, weights, rank, least)
+                first, ahead, small = first_shingles(keys, weights, rank, least)
                 if whole:  # others than the known ones have one component
                     some = np.isin(first, known)
-                    first, other, ahead = first[some], other[some], ahead[some]
+                    first, ahead, small = first[some], ahead[some], small[some]
                 n = len(first)
-                columns = [first.view(np.int64), np.minimum(other, own).astype(np.int32), np.maximum(other, own).astype(np.int32), np.full(n, own, np.int32), np.full(n, weights.sum()), ahead]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([node] * n, pa.binary()), pa.array([label] * n, pa.binary())], names=["key", "lo", "hi", "own", "size", "ahead", "node", "label"])
-
-    by = ["key", "lo", "hi"]
-    rows = cut(sets.select("node", "keys", "weights", "label").mapInArrow(run, "key long, lo int, hi int, own int, size double, ahead double, node binary, label binary"))
-    held = rows.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("n")).groupBy(by).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label"))["label"].alias("main"))
-    held = held.where("labels > 1").select(*by, "main", F.ceil(F.col("n") / SALT).cast("int").alias("parts"))
-    met = cut(rows.join(held, by))
-    x = met.where("label <> main").select(*by, F.pmod(F.xxhash64("node"), "parts").cast("int").alias("salt"), *(F.col(c).alias(f"{c}_x") for c in ("own", "size", "ahead", "node", "label")))
-    y = met.select(*by, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "own", "size", "ahead", "node", "label")
-    sides = F.expr("(own_x = lo and own = hi) or (own_x = hi and own = lo)")
+                columns = [pa.array(first.view(np.int64)), pa.array(small), pa.array(ahead), pa.array(np.full(n, weights.sum())), pa.array([node] * n, pa.binary()), pa.array([mark] * n, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "small", "ahead", "size", "node", "mark"])
+
+    rows = tables.keep(sets.select("node", "keys", "weights", "mark").mapInArrow(run, "key long, small boolean, ahead double, size double, node binary, mark binary"), "first")
+    held = rows.groupBy("key", "mark").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("marks"), F.max(F.struct("n", "mark"))["mark"].alias("main"))
+    held = tables.keep(held.where("marks > 1").select("key", "main", F.ceil(F.col("n") / SALT).cast("int").alias("parts")), "held")
+    met = tables.keep(rows.join(held, "key"), "first")
+    x = met.where("mark <> main").select("key", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("salt"), *(F.col(c).alias(f"{c}_x") for c in ("small", "size", "ahead", "node", "mark")))
+    y = met.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "small", "size", "ahead", "node", "mark")
+    sides = F.expr("(small_x and size_x <= size) or (small and size <= size_x)")
     enough = F.least("ahead_x", "ahead") >= least / (1 + least) * (F.col("size_x") + F.col("size")) - 1e-6
-    return x.join(y, [*by, "salt"]).where((F.col("label_x") != F.col("label")) & sides & enough).select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
+    near = F.least("size_x", "size") >= least * F.greatest("size_x", "size") - 1e-6
+    met = x.join(y, ["key", "salt"]).where((F.col("mark_x") != F.col("mark")) & sides & enough & near)
+    return met.select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
 
 
-def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+def components(labels: DataFrame, edges: DataFrame, tables: Tables) -> DataFrame:
     """``labels`` (node, label) with labels merged along ``edges`` (a, b between labels); the least of each component
     stays. Each round every label moves to its least neighbour's, and edges are contracted, until none is left."""
-    edges = cut(edges.where("a <> b").distinct())
+    edges = tables.keep(edges.where("a <> b").distinct(), "edges")
+    turn = 0
     while edges.head(1):
+        turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("to")))
-        jump = parent.select(F.col("x").alias("y"), F.col("to").alias("far"))
-        parent = cut(parent.join(jump, F.col("to") == F.col("y"), "left").select("x", F.coalesce("far", "to").alias("to")))
+        step = tables.keep(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("to")), "step")
+        jump = step.select(F.col("x").alias("y"), F.col("to").alias("far"))
+        parent = tables.keep(step.join(jump, F.col("to") == F.col("y"), "left").select("x", F.coalesce("far", "to").alias("to")), f"parent-{turn}")
         labels = labels.join(parent, F.col("label") == F.col("x"), "left").select("node", F.coalesce("to", "label").alias("label"))
         moved = edges.join(parent, F.col("a") == F.col("x")).select(F.col("to").alias("a"), "b")
         moved = moved.join(parent, F.col("b") == F.col("x")).select("a", F.col("to").alias("b"))
-        edges = cut(moved.where("a <> b").distinct())
+        edges = tables.keep(moved.where("a <> b").distinct(), "edges")
+    labels = tables.keep(labels, "labels")
+    tables.drop("edges", "step", *(f"parent-{i + 1}" for i in range(turn)))
     return labels
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 5, weighting: str = "presence", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and class_id of every row of ``docs``."""
-    signed = cut(_signed(docs, id_col, text_col, size, weighting))
-    nodes = signed.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = cut(buckets.join(sizes, "key"))  # the buckets of two nodes or more
-    fame = shared.groupBy("node").agg(F.sum("n").alias("fame"))
-    shared = cut(shared.join(fame, "node").withColumn("luck", F.xxhash64("key", "node")))
-    texts = docs.select(F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("node"), F.col(text_col).alias("text")).where("node is not null")
-    texts = texts.groupBy("node").agg(F.first("text").alias("text"))  # copies go before they meet
-
-    centers = shared.groupBy("key").agg(F.max(F.struct("fame", "node")).alias("f"), F.min(F.struct("luck", "node")).alias("l"))
-    centers = centers.select("key", F.explode(F.array_distinct(F.array("f.node", "l.node"))).alias("a"))
-    pairs = cut(shared.join(centers, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
-    linked = _verified(pairs, texts, size, weighting, least)
-    members = shared.select("node").distinct().select("node", F.col("node").alias("label"))
-    labels = cut(components(members, linked))
-
-    def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
-        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        return cut(components(labels, more.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))))
-
-    for turn in range(TURNS):
-        open_ = shared.join(labels, "node")
-        mixed = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("fame", "label")).alias("main")).where("low <> high")
-        open_ = cut(open_.join(mixed.select("key", F.col("main.label").alias("main")), "key"))
-        if not open_.head(1):
-            break
-        few, many = open_.where(F.col("n") <= FEW), open_.where(F.col("n") > FEW)
-        rank = F.struct(-F.col("fame") if turn == 0 else F.xxhash64(F.lit(turn), "key", "node"), F.col("node"), F.col("label"))
-        chosen = many.where("label <> main").groupBy("key").agg(F.min(rank).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.label").alias("la"))
-        across = many.join(chosen, "key").where("label <> la").select("a", F.col("node").alias("b"))
-        if turn == 0:
-            x, y = few.select("key", F.col("node").alias("a"), F.col("label").alias("la")), few.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-            across = across.unionByName(x.join(y, "key").where("a < b and la <> lb").select("a", "b"))
-        across = cut(across.distinct().join(pairs, ["a", "b"], "left_anti"))
-        labels = joined(labels, _verified(across, texts, size, weighting, least))
-        pairs = pairs.unionByName(across)
-
-    open_ = shared.where(F.col("n") > FEW).join(labels, "node")
-    mixed = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    open_ = cut(open_.join(mixed, "key").select("node", "label").distinct())
+def _merged(labels: DataFrame, linked: DataFrame, tables: Tables) -> DataFrame:
+    """``labels`` (node, label) merged along ``linked`` pairs (a, b) of nodes."""
+    la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    return components(labels, linked.join(la, "a").join(lb, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), tables)
+
+
+def _classes(docs: DataFrame, least: float, size: int, weighting: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """id and node of every row; node and label of every node. The label of a class is its least (none, id, node), where
+    ``none`` says that the id is null."""
+    tables = Tables(docs.sparkSession)
+    signed = tables.keep(_signed(docs, id_col, text_col, size, weighting), "signed")
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    nodes = tables.keep(signed.where("node is not null").groupBy("node", "bands").agg(F.min("id").alias("id")), "nodes")
+    shared, pairs = _paired(nodes, tables)
+    labels = tables.keep(nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", own.alias("label")), "labels")
+
+    # of the copies of a text the one of the least id is read again
+    asked = labels.select(F.col("label.node").alias("w"), F.col("label.id").alias("least_id"))
+    texts = _named(docs, id_col, text_col).join(asked.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("least_id")) & (F.col("node") == F.col("w")), "left_semi").select("node", "text")
+    sets = tables.keep(_shingle_sets(texts, size, weighting).dropDuplicates(["node"]), "sets")
+
+    labels = _merged(labels, _verified(sets, pairs, least), tables)
+    in_bucket = shared.select("key", "node").join(labels, "node")
+    mixed = in_bucket.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("n > 2 and low <> high").select("key")
+    mixed = tables.keep(mixed, "mixed")
+    open_ = tables.keep(in_bucket.join(mixed, "key", "left_semi").select("node", F.col("label.node").alias("mark")).distinct(), "open")
     if open_.head(1):
-        known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        sets = cut(_shingle_sets(texts.join(open_, "node", "left_semi"), size, weighting).join(open_, "node"))
-        across = cut(_alike_by_rare_shingles(sets, least).join(known, ["a", "b"], "left_anti"))
-        labels = joined(labels, _verified_by(sets, across, least))
+        across = tables.keep(_alike_by_rare_shingles(sets.join(open_, "node"), least, tables), "across")
+        labels = _merged(labels, _verified(sets, across, least), tables)
+    labels = tables.keep(nodes.select("node", own.alias("own")).join(labels, "node", "left").select("node", F.coalesce("label", "own").alias("label")), "classes")
+    rows = tables.keep(signed.select("id", "node"), "signed")
+    tables.drop("nodes", "met", "found", "pairs", "sets", "labels", "mixed", "open", "first", "held", "across")
+    return rows, labels
+
 
-    rows = signed.select("id", "node").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("label"))
-    classes = rows.where("label is not null").groupBy("label").agg(F.min("id").alias("least"))
-    return rows.join(classes, "label", "left").select(F.col("id").alias(id_col), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"))
+def near_duplicates(docs: DataFrame, least: float = 0.8, size: int = 5, weighting: str = "presence", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col`` and class_id of every row of ``docs``."""
+    rows, labels = _classes(docs, least, size, weighting, id_col, text_col)
+    found = rows.join(labels, "node", "left")
+    return found.select(F.col("id").alias(id_col), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("label.id")).alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, least: float = 0.8, size: int = 5, weighting: str = "presence", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, whole: of each class the one with the least id (null ids last; of repeated rows, one).
-    ``docs`` must be a read of files, whose rows keep their order."""
-    last = F.lit((1 << 63) - 1)
-    named = docs.withColumn("_row", F.struct(F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.monotonically_increasing_id().alias("at")))
-    found = near_duplicates(named, least, size, weighting, "_row", text_col)
-    kept = found.where(F.col("class_id") == F.col("_row")).select(F.col("_row.at").alias("_at"))
-    return named.withColumn("_at", F.col("_row.at")).join(kept, "_at", "left_semi").select(*docs.columns)
+    """The rows of ``docs``, whole: of each class the one with the least id (null ids last; of rows with equal id and text,
+    one). Null texts stay, all of them. Columns of any name may stand in ``docs``."""
+    rows, labels = _classes(docs, least, size, weighting, id_col, text_col)
+    first = (F.col("node") == F.col("label.node")) & F.col("id").eqNullSafe(F.col("label.id"))
+    counted = rows.where("node is not null").groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).join(labels, "node")
+    marked = Tables(docs.sparkSession).keep(counted.where(~first | (F.col("n") > 1)).select(F.col("id").alias("i"), F.col("node").alias("w"), first.alias("first")), "marked")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("node"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("node") == F.col("w"))
+    kept = whole.join(marked.hint("shuffle_hash"), same, "left_anti")
+    again = marked.where("first")
+    if again.head(1):  # rows that stand several times
+        kept = kept.unionByName(whole.join(again.hint("shuffle_hash"), same, "left_semi").groupBy("id", "node").agg(F.first("row").alias("row")).select("row", "id", "node"))
+    return kept.select("row.*")

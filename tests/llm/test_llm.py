@@ -184,6 +184,35 @@ def test_pairs_inside_a_family_are_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("pairs", [600, 1500])
+def test_near_copies_of_template_pages_are_linked(spark, pairs):
+    """Pages of one template, 0.684 alike, each with one near copy of 0.811: every copy finds its page, nothing else."""
+    fresh = iter(range(10**7))
+    passage = " ".join(f"t{i}" for i in range(134))
+    rows = []
+    for pair in range(pairs):
+        own = [f"w{next(fresh)}" for _ in range(30)]
+        for _ in range(2):
+            rows.append((len(rows), " ".join([passage, *own, *(f"w{next(fresh)}" for _ in range(16 if pair % 2 else 17))])))
+    sets = [set(neardup.Shingler(5, "presence").sets([x])[1].tolist()) for _, x in rows[:8]]
+    alike = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert alike(0, 1) >= 0.8 and alike(2, 3) >= 0.8 and alike(0, 2) < 0.7
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(2 * pairs)}
+
+
+def test_one_of_each_keeps_whole_rows(spark):
+    """Columns named like the operator's own, repeated rows, a third of all rows the same text, null ids and texts."""
+    rows = [(i, "the same words stand here again and again", f"s{i}", 1, 2.0) for i in range(40)]
+    rows += [(i, f"another text {i} has its own words and number {i}", "x", 1, 2.0) for i in range(40, 80)] + [(50, "another text 50 has its own words and number 50", "y", 1, 2.0)]
+    rows += [(None, "the same words stand here again and again", "x", 1, 2.0), (None, "only null ids have this one text", "x", 1, 2.0), (7, None, "x", 1, 2.0), (7, None, "x", 1, 2.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, _row int, label double")
+    got = neardup.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text is None) for r in got.collect()) == Counter([(0, False), *((i, False) for i in range(40, 80)), (None, False), (7, True), (7, True)])
+    assert neardup.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_first_shingles_meet_whatever_the_weights():
     rng = np.random.default_rng(2)
     met = 0
@@ -197,11 +226,11 @@ def test_first_shingles_meet_whatever_the_weights():
         if not len(a) or neardup.similarity(a, wa, b, wb) < 0.8:
             continue
         met += 1
-        ka, oa, ra, ca = neardup.first_shingles(a, wa, rank[a.astype(int)], 0.8)
-        kb, ob, rb, cb = neardup.first_shingles(b, wb, rank[b.astype(int)], 0.8)
-        left = {int(k): r for k, o, r in zip(ka, oa, ra, strict=True) if o == cb}
-        right = {int(k): r for k, o, r in zip(kb, ob, rb, strict=True) if o == ca}
-        assert any(min(left[k], right[k]) >= 0.8 / 1.8 * (wa.sum() + wb.sum()) - 1e-6 for k in left.keys() & right.keys())
+        ka, ra, sa = neardup.first_shingles(a, wa, rank[a.astype(int)], 0.8)
+        kb, rb, sb = neardup.first_shingles(b, wb, rank[b.astype(int)], 0.8)
+        left, right = {int(k): (r, small) for k, r, small in zip(ka, ra, sa, strict=True)}, {int(k): (r, small) for k, r, small in zip(kb, rb, sb, strict=True)}
+        enough = [k for k in left.keys() & right.keys() if min(left[k][0], right[k][0]) >= 0.8 / 1.8 * (wa.sum() + wb.sum()) - 1e-6]
+        assert any((left[k][1] and wa.sum() <= wb.sum()) or (right[k][1] and wb.sum() <= wa.sum()) for k in enough)
     assert met > 300
 
 
