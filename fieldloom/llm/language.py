@@ -6,13 +6,16 @@ with the letter that failed. A text close to a language's sample needs few phras
 the cost of naming one (log2 of the sample's length) and by the text's length; the least wins, ties go to the
 alphabetically first language.
 
-Letters are folded to lower case; every run of other characters is one space. Texts are parsed in blocks of
+Letters are folded to lower case; every run of other characters is one space. Each language has the alphabet of its own
+sample, however large; a letter that its sample lacks is a phrase of its own. Texts are parsed in blocks of
 ``BLOCK`` letters, each from the root, so that many blocks advance in step as one vector operation, and the
-whole text counts, however long it is. An automaton is one dense table: entry [state, letter] holds the next
-state and whether a new phrase begins, so a step is one lookup.
+whole text counts, however long it is. An automaton is a dense table (entry [state, letter] holds the next
+state and whether a new phrase begins, so a step is one lookup) while a worker's tables fit ``DENSE`` bytes, and a
+sorted array of its edges beyond, with the same phrases.
 
-Bounds: at most ``LANGUAGES`` languages; at most ``letters`` letters of sample a language, of whole documents;
-what is broadcast is at most 2 * letters states a language and 40 entries of 4 bytes a state.
+Bounds: at most ``letters`` letters of sample a language, from at most ``documents`` documents of which each gives
+a quarter of that at most; what is broadcast are these letters. Workers build the automata from them once, of at most
+2 * letters states and 3 * letters edges a language.
 
 Defined results: null text or text without a letter: ``und`` with score 0. No labelled language: ``und`` for all.
 Rows are returned one for one, repeated ones too; null ids are kept and are in no fold; other columns, whatever their
@@ -21,6 +24,7 @@ names, are not looked at.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -31,20 +35,16 @@ from pyspark.sql import functions as F
 
 from fieldloom.llm.common import slices, unit_hash
 
-LANGUAGES = 64
-CLASSES = 40  # 0 pads, 1 is the space, 2 is any other letter, 3.. are the most frequent letters
 BLOCK = 2048
 SLICE = 8 << 20
+DENSE = 256 << 20  # bytes of dense tables in a worker
 
 
 def letter_table(texts: Iterable[str]) -> np.ndarray:
-    """Class of each code point."""
-    counts = Counter()
-    for text in texts:
-        counts.update(text.lower())
-    frequent = [c for c, _ in sorted(((c, n) for c, n in counts.items() if c.isalpha()), key=lambda x: (-x[1], x[0]))][: CLASSES - 3]
-    own = {c: i + 3 for i, c in enumerate(frequent)}
-    table = np.ones(0x110000, np.uint8)
+    """Class of each code point: 1 for all but letters, 2 for letters in none of ``texts``, 3 and more for theirs."""
+    seen = sorted({c for text in texts for c in set(text.lower()) if c.isalpha()})
+    own = {c: i + 3 for i, c in enumerate(seen)}
+    table = np.ones(0x110000, np.uint16 if len(seen) < 60_000 else np.uint32)
     for point in range(0x110000):
         if 0xD800 <= point < 0xE000:
             continue
@@ -66,8 +66,8 @@ def classes(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return codes[keep], total[starts[1:]] - total[starts[:-1]]
 
 
-def automaton(codes: np.ndarray) -> np.ndarray:
-    """Dense suffix automaton of ``codes``: [state * CLASSES + class] -> next state * CLASSES * 2 + (a phrase begins)."""
+def suffix_edges(codes: np.ndarray) -> list[dict[int, int]]:
+    """Edges of each state of the suffix automaton of ``codes``; state 0 is the root."""
     following: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
@@ -93,35 +93,71 @@ def automaton(codes: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(following), CLASSES), -1, np.int32)
-    for state, edges in enumerate(following):
-        for c, to in edges.items():
-            table[state, c] = to * CLASSES * 2
-    root = table[0].copy()
-    root[root < 0] = 0
-    missing = table < 0
-    table[missing] = np.broadcast_to(root | 1, table.shape)[missing]
-    table[0] = root | 1
-    table[:, 0] = 0
-    return table.reshape(-1)
+    return following
+
+
+class Automaton:
+    """Steps of many parses at once. What a step returns is next state * width * 2 + (a phrase begins)."""
+
+    def __init__(self, codes: np.ndarray, width: int, room: int) -> None:
+        """``codes``: classes of the sample, below ``width``; class 0 stands nowhere in it. Dense within ``room`` bytes."""
+        following = suffix_edges(codes)
+        n = np.fromiter(map(len, following), np.int64, len(following))
+        at = np.repeat(np.arange(len(following)), n) * width + np.fromiter((c for x in following for c in x), np.int64, int(n.sum()))
+        to = np.fromiter((t for x in following for t in x.values()), np.int64, int(n.sum())) * (width * 2)
+        to[: n[0]] |= 1  # what is read at the root begins a phrase
+        missing = np.ones(width, np.int64)
+        missing[at[: n[0]]] = to[: n[0]]
+        self.bytes, self.table = 0, None
+        if len(following) * width * 4 <= room:
+            self.table = np.tile(missing.astype(np.int32), len(following))
+            self.table[at] = to
+            self.bytes = self.table.nbytes
+        else:
+            order = np.argsort(at)
+            self.at, self.to, self.missing = at[order], to[order], missing
+
+    def step(self, state: np.ndarray, here: np.ndarray) -> np.ndarray:
+        want = (state >> 1) + here
+        if self.table is not None:
+            return self.table[want]
+        place = np.minimum(np.searchsorted(self.at, want), len(self.at) - 1)
+        return np.where(self.at[place] == want, self.to[place], self.missing[here])
+
+
+_BUILT: dict[str, list[Automaton]] = {}
 
 
 class Parser:
-    """Suffix automata of several languages."""
+    """Letters of samples of several languages; their automata are made where they are first needed."""
 
-    def __init__(self, names: list[str], letters: np.ndarray, tables: list[np.ndarray], costs: list[float]) -> None:
-        self.names, self.letters, self.tables, self.costs = names, letters, tables, costs
+    def __init__(self, names: list[str], letters: np.ndarray, alphabets: list[np.ndarray], samples: list[np.ndarray]) -> None:
+        self.names, self.letters, self.alphabets, self.samples = names, letters, alphabets, samples
+        self.key, self.costs = uuid.uuid4().hex, [float(np.log2(len(x) + 2)) for x in samples]
 
     @classmethod
     def fit(cls, samples: dict[str, list[str]]) -> Parser:
         names = sorted(k for k, v in samples.items() if any(v))
         letters = letter_table(x for k in names for x in samples[k])
-        tables, costs = [], []
+        size, alphabets, coded = int(letters.max()) + 1, [], []
         for name in names:
             codes, _ = classes([" ".join(samples[name])], letters)
-            tables.append(automaton(codes))
-            costs.append(float(np.log2(len(codes) + 2)))
-        return cls(names, letters, tables, costs)
+            own = np.unique(codes)
+            alphabet = np.zeros(size, np.int32)  # class in this language of each letter; 0: none
+            alphabet[own] = np.arange(len(own)) + 1
+            alphabets.append(alphabet)
+            coded.append(alphabet[codes])
+        return cls(names, letters, alphabets, coded)
+
+    def automata(self) -> list[Automaton]:
+        if self.key not in _BUILT:
+            _BUILT.clear()
+            room, made = DENSE, []
+            for alphabet, codes in zip(self.alphabets, self.samples, strict=True):
+                made.append(Automaton(codes, int(alphabet.max()) + 1, room))
+                room -= made[-1].bytes
+            _BUILT[self.key] = made
+        return _BUILT[self.key]
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text in each language, and each text's letters (spaces not counted)."""
@@ -134,17 +170,18 @@ class Parser:
         order = np.argsort(-size, kind="stable")
         owner, begin, size = owner[order], begin[order], size[order]
         active = np.searchsorted(-size, -np.arange(BLOCK), side="left")  # blocks longer than t
-        counts = np.zeros((len(self.tables), len(size)), np.int32)
-        state = np.zeros((len(self.tables), len(size)), np.int32)
+        automata = self.automata()
+        counts = np.zeros((len(automata), len(size)), np.int32)
+        state = [np.zeros(len(size), np.int32 if x.table is not None else np.int64) for x in automata]
         for t in range(int(size[0]) if len(size) else 0):
             n = active[t]
-            here = codes[begin[:n] + t].astype(np.int32)
-            for k, table in enumerate(self.tables):
-                got = table[(state[k, :n] >> 1) + here]
-                counts[k, :n] += got & 1
-                state[k, :n] = got
-        out = np.zeros((len(texts), len(self.tables)), np.int64)
-        for k in range(len(self.tables)):
+            here = codes[begin[:n] + t]
+            for k, (automaton, alphabet) in enumerate(zip(automata, self.alphabets, strict=True)):
+                got = automaton.step(state[k][:n], alphabet[here])
+                counts[k, :n] += (got & 1).astype(np.int32)
+                state[k][:n] = got
+        out = np.zeros((len(texts), len(automata)), np.int64)
+        for k in range(len(automata)):
             out[:, k] = np.bincount(owner, weights=counts[k], minlength=len(texts))
         letters = np.concatenate([[0], np.cumsum(codes > 1)])
         ends = np.cumsum(lengths)
@@ -166,24 +203,22 @@ class Parser:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, labelled: Column, documents: int, letters: int) -> dict[str, list[str]]:
-    """Whole labelled documents of each language, at most ``letters`` characters of them: a hash of the id picks
-    about ``documents``, and of these, in hash order, every one that still fits is taken."""
+    """Labelled documents of each language, at most ``letters`` characters of them: a hash of the id picks about
+    ``documents``, and of these, in hash order, each gives a quarter of that at most until the sample is full."""
     known = docs.where(labelled & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    counts = known.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a language
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, documents / r.n))])
     luck = unit_hash(F.col(id_col), 8)
-    rows = known.where(luck < share[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), luck.alias("luck"), F.col(text_col).alias("text"))
-    rows = rows.where(F.length("text") <= letters).limit(4 * documents * len(counts)).collect()
+    rows = known.where(luck < share[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), luck.alias("luck"), F.substring(text_col, 1, max(1, letters // 4)).alias("text"))
+    rows = rows.limit(4 * documents * len(counts)).collect()
     out: dict[str, list[str]] = {r.lang: [] for r in counts}
     size: Counter = Counter()
     for r in sorted(rows, key=lambda r: (r.luck, r.text)):
-        if size[r.lang] + len(r.text) <= letters:
-            out[r.lang].append(r.text)
-            size[r.lang] += len(r.text)
+        if size[r.lang] < letters:
+            out[r.lang].append(r.text[: letters - size[r.lang]])
+            size[r.lang] += len(out[r.lang][-1])
     return out
 
 
