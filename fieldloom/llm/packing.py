@@ -83,7 +83,7 @@ class Encoder:
         split = [units_of(x) for x in words]
         units, known, tokenize = self.units, self.words, self.tokenizer.model.tokenize
         for unit in set().union(*(x for x in split if x)).difference(units):
-            shown = unit if unit.isascii() else unit.encode().decode("latin-1").translate(SHOWN)
+            shown = unit if unit.isascii() and unit.isprintable() else unit.encode().decode("latin-1").translate(SHOWN)
             units[unit] = array("I", [t.id for t in tokenize(shown)]).tobytes()
         for word, own in zip(words, split, strict=True):
             known[word] = self._whole(word) if own is None else units[own[0]] if len(own) == 1 else b"".join(map(units.__getitem__, own))
