@@ -18,7 +18,6 @@ ones too; null ids are kept; other columns, whatever their names, are not looked
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,14 +33,14 @@ SHAPES = 64
 DIM = 32
 SLICE = 2 << 20
 MOST = 20_000  # labelled documents to learn from
-END = re.compile(r"[\W_]+$")
 
 
 def word_number(word: str) -> int:
     """Hashed row * SHAPES + shape (without the repeat bit)."""
-    tail = END.search(word)
-    core = word[: tail.start()] if tail else word
-    mark = tail.group() if tail else ""
+    end = len(word)
+    while end and not word[end - 1].isalnum():
+        end -= 1
+    core, mark = word[:end], word[end:]
     shape = 2 * (len(core) > 1 and core.isupper()) + 4 * any(map(str.isdigit, core)) + 8 * (not core)
     if mark:
         shape += 16 if mark in (".", ",", ";", ":", "?", "!") else 32

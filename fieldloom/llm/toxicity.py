@@ -40,8 +40,9 @@ LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g",
 SEPARATORS = frozenset(".-_*~'`^,:;/\\ \u200b\xad")
 # Costs of the channel in nats.
 LOOK, DROP, RUN, BOUNDARY, KEPT = 1.0, 0.7, 0.7, 1.5, 9.0
-DISGUISED = re.compile(r"[^\W\d_].*[\W\d_].*[^\W\d_]|[\d@$!|+(<€£][^\W\d_]|[^\W\d_][\d@$|+(]|(?P<c>[^\W\d_])(?P=c)(?P=c)", re.S).search
-ENDS = re.compile(r"^[^\w$@!|+(<€£]+|[^\w$@|+(]+$|(?P<c>[\W_])(?P=c)(?P=c)+$")
+# A letter, signs, a letter; a sign beside a letter; a letter three times: no alternative reads a place more than twice.
+DISGUISED = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]|[\d@$!|+(<€£][^\W\d_]|[^\W\d_][\d@$|+(]|(?P<c>[^\W\d_])(?P=c)(?P=c)").search
+LEADING, TRAILING = frozenset("$@!|+(<€£_"), frozenset("$@|+(_")  # signs that may begin or end a word
 STEMS = (3, 4, 5, 6, 7)  # lengths of the beginnings of words that count too
 ALONE = 1 << 40
 
@@ -91,27 +92,55 @@ class Model:
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The reading of least cost: one choice (letters, cost) of each place, in order."""
-        beams: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        beams: dict[int, float] = {0: 0.0}
+        back: list[dict[int, tuple[int, str]]] = []  # of each place: state -> the state before and what was read
         cube, rows = SIGNS**3, self._rows
         for choices in lattice:
-            after: dict[int, tuple[float, str]] = {}
+            after: dict[int, float] = {}
+            came: dict[int, tuple[int, str]] = {}
             for letters, extra in choices:
                 codes = [LETTER(x) for x in letters]
-                for state, (cost, read) in beams.items():
+                for begin, cost in beams.items():
+                    state = begin
                     cost += extra
                     for d in codes:
                         cost += float(rows[state, d])
                         state = (state * SIGNS + d) % cube
-                    if state not in after or (cost, read + letters) < after[state]:
-                        after[state] = (cost, read + letters)
+                    if state not in after or cost < after[state]:
+                        after[state], came[state] = cost, (begin, letters)
             beams = after
-        return min((cost + float(rows[state, 0]), read) for state, (cost, read) in beams.items())[1]
+            back.append(came)
+        state = min(beams, key=lambda x: (beams[x] + float(rows[x, 0]), x))
+        read = []
+        for came in reversed(back):
+            state, letters = came[state]
+            read.append(letters)
+        return "".join(reversed(read))
+
+
+_LETTERS: dict[str, int] = {}
 
 
 def LETTER(c: str) -> int:
     if "a" <= c <= "z":
         return ord(c) - 96
-    return int(signs(c)[0])
+    if c not in _LETTERS:
+        _LETTERS[c] = int(signs(c)[0])
+    return _LETTERS[c]
+
+
+def ends(word: str) -> str:
+    """``word`` without the signs around it, but for those that may stand for letters; a last sign that stands three
+    times or more goes, too."""
+    first, last = 0, len(word)
+    while first < last and not word[first].isalnum() and word[first] not in LEADING:
+        first += 1
+    while last > first and not word[last - 1].isalnum() and word[last - 1] not in TRAILING:
+        last -= 1
+    if last == len(word) > first and not word[-1].isalnum():
+        run = len(word) - len(word[first:].rstrip(word[-1])) - first
+        last -= run if run >= 3 else 0
+    return word[first:last]
 
 
 def lattice(word: str, apart: bool = False) -> list[list[tuple[str, float]]]:
@@ -142,7 +171,7 @@ def lattice(word: str, apart: bool = False) -> list[list[tuple[str, float]]]:
 def restore(model: Model, word: str) -> str:
     """``word`` as it is read: lower case, without punctuation around it, decoded if it may be disguised."""
     low = word.lower()
-    core = ENDS.sub("", low)
+    core = ends(low)
     if not core:
         return ""
     return model.decode(lattice(core)).strip() if DISGUISED(core) else core

@@ -1,8 +1,8 @@
 """URL rules in a sorted digest array.
 
 Every rule (host and path prefix as one string) is kept as its 64-bit xxhash in one sorted array, which
-executors memory-map; the strings lie beside it. A url asks for each of its host suffixes joined with each
-prefix of its path that has the length of some rule's path. All questions of a batch are answered by one
+executors memory-map; the strings lie beside it. A url asks for each of its host's suffixes that has the length of some
+rule's host, joined with each prefix of its path that has the length of some rule's path. All questions of a batch are answered by one
 vectorised binary search; where a digest is found, the stored string must be equal, so colliding digests
 (several equal keys in a row are all looked at) never decide anything.
 
@@ -46,19 +46,19 @@ def split_url(url: str | None) -> tuple[str, str]:
 class DigestArray:
     """Sorted 64-bit digests with the strings they stand for; built once, then memory-mapped."""
 
-    FILES = ("keys.npy", "offsets.npy", "allow.npy", "lengths.npy", "strings.bin")
+    FILES = ("keys.npy", "offsets.npy", "allow.npy", "lengths.npy", "hosts.npy", "strings.bin")
 
     def __init__(self, folder: str, prefix: str = "") -> None:
         name = [os.path.join(folder, prefix + x) for x in self.FILES]
-        self.keys, self.offsets, self.allow, self.lengths = (np.load(x, mmap_mode="r") for x in name[:4])
-        self.strings = np.memmap(name[4], dtype=np.uint8, mode="r") if os.path.getsize(name[4]) else np.empty(0, np.uint8)
+        self.keys, self.offsets, self.allow, self.lengths, self.hosts = (np.load(x, mmap_mode="r") for x in name[:5])
+        self.strings = np.memmap(name[5], dtype=np.uint8, mode="r") if os.path.getsize(name[5]) else np.empty(0, np.uint8)
 
     @classmethod
     def files(cls, rules: Iterable[tuple[str, str]], digest=xxhash.xxh64_intdigest) -> dict[str, bytes]:
         """The index of ``rules``: (``allow`` or ``block``, host with path). A rule that stands twice keeps its first action."""
         first: dict[str, str] = {}
         for action, rule in rules:
-            if action not in ("allow", "block") or "/" not in rule:
+            if action not in ("allow", "block") or rule.find("/") < 1:
                 raise ValueError(f"not a rule: {action} {rule}")
             host, slash, path = rule.partition("/")
             first.setdefault(host.translate(FOLD) + slash + path, action)
@@ -69,12 +69,13 @@ class DigestArray:
             np.cumsum([0, *map(len, blob)]).astype(np.int64),
             np.array([x[2] == "allow" for x in rows], bool),
             np.unique(np.array([len(x[1].decode().partition("/")[2]) + 1 for x in rows], np.int64)),
+            np.unique(np.array([len(x[1].decode().partition("/")[0]) for x in rows], np.int64)),
         )
         out = {}
         for name, array in zip(cls.FILES, arrays, strict=False):
             np.save(held := io.BytesIO(), array)
             out[name] = held.getvalue()
-        return out | {cls.FILES[4]: b"".join(blob)}
+        return out | {cls.FILES[5]: b"".join(blob)}
 
     def find(self, asked: list[str], digest=xxhash.xxh64_intdigest) -> np.ndarray:
         """Position of each string, -1 where it isn't stored."""
@@ -96,17 +97,15 @@ class DigestArray:
         """For each (host, path): the longest rule that fits, if any, and whether it allows."""
         asked: list[str] = []
         owner: list[int] = []
-        lengths = [int(n) for n in self.lengths]
+        lengths, hosts = self.lengths.tolist(), self.hosts.tolist()
         for i, (host, path) in enumerate(pairs):
             if not host or not path:
                 continue
             prefixes = [path[:n] for n in lengths if n <= len(path)]
-            at = 0
-            while at >= 0:
-                asked += [host[at:] + p for p in prefixes]
-                owner += [i] * len(prefixes)
-                dot = host.find(".", at)
-                at = dot + 1 if dot >= 0 else -1
+            for n in hosts:
+                if n == len(host) or (n < len(host) and host[-n - 1] == "."):
+                    asked += [host[-n:] + p for p in prefixes]
+                    owner += [i] * len(prefixes)
         best: list[tuple[str | None, bool]] = [(None, True)] * len(pairs)
         found = self.find(asked, digest)
         for j in np.flatnonzero(found >= 0):
