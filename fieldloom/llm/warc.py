@@ -1,9 +1,10 @@
 """WARC archives: a writer with revisit records and a reader that salvages what damage leaves.
 
-Writer. One gzip member a record. Of the rows with equal payloads of at least ``least_bytes`` bytes the one
+Writer. One gzip member a record. Groups of equal payloads are found on (digest, id) alone; payloads travel once, by (id,
+digest), so a page that many urls share is no hot key. Of the rows with equal payloads of at least ``least_bytes`` bytes the one
 with the largest id becomes the ``response``; the others become ``revisit`` records that refer to it and hold
-no payload. Smaller payloads are all ``response``. Archives are written under a name that depends on the
-task's partition only, first beside it and then renamed, so a task that runs again replaces its own files.
+no payload. Smaller payloads are all ``response``. Archives are written under a name of the task's
+attempt, first beside it and then renamed; the manifest names those of the attempts that count.
 
 Reader. A stream of members (or of plain records). After a failed check (broken gzip data, no version line,
 a wrong length, a payload that doesn't have its digest) it looks for the next gzip member or version line that
@@ -29,11 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import scratch, uri
+from fieldloom.llm.common import Tables, scratch, uri
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 BLOCK = 1 << 20
+MOST = 1 << 32  # bytes of a record that the reader takes for one; twice what a cell can hold
 READ_SCHEMA = "kind string, path string, start long, end long, reason string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
 
 
@@ -148,7 +150,7 @@ def plain(window: Window, pos: int, most: int) -> tuple[bytes, int] | str:
     return (data, pos + whole) if len(data) == whole else "truncated record"
 
 
-def salvage(stream, most: int = 1 << 30, block: int = BLOCK) -> Iterator[tuple]:
+def salvage(stream, most: int = MOST, block: int = BLOCK) -> Iterator[tuple]:
     """("record", start, end, fields) and ("gap", start, end, reason), in order, for all bytes of ``stream``."""
     window, pos, gap, reason = Window(stream, block), 0, None, ""
     while window.have(pos, 1):
@@ -186,23 +188,18 @@ def salvage(stream, most: int = 1 << 30, block: int = BLOCK) -> Iterator[tuple]:
 
 
 def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, least_bytes: int) -> DataFrame:
-    """page_id, url, payload, refers_to (null for responses). Payload groups are counted per task before they meet."""
-    rows = pages.select(
-        F.col(id_col).cast("long").alias("page_id"),
-        F.col(url_col).alias("url"),
-        F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
-    ).withColumn("digest", F.sha1("payload"))
-    firsts = (
-        pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
-        .where(F.octet_length("payload") >= least_bytes)
-        .select("page_id", F.sha1("payload").alias("digest"))
-        .groupBy("digest")
-        .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 and first is not null")
-        .select("digest", "first")
-    )
-    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(firsts, "digest", "left").select("page_id", "url", "payload", F.when(other, F.col("first")).alias("refers_to"))
+    """page_id, url, payload, refers_to (null for responses)."""
+    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("digest"))
+    tables = Tables(pages.sparkSession)
+    members = tables.keep(pages.select(F.col(id_col).cast("long").alias("page_id"), payload.alias("payload")).where(F.octet_length("payload") >= least_bytes).select("page_id", F.sha1("payload").alias("digest")), "members")
+    firsts = members.groupBy("digest").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = tables.keep(firsts.where("n > 1 and first is not null").select("digest", "first"), "firsts")
+    others = members.join(firsts, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "first").distinct()
+    others = tables.keep(others, "others")
+    tables.drop("members", "firsts")
+    found = rows.join(others.hint("shuffle_hash"), F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left")
+    return found.select("page_id", "url", "payload", F.col("first").alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, archive_bytes: int = 64 << 20, date: str = "1970-01-01T00:00:00Z", level: int = 4) -> DataFrame:
@@ -218,7 +215,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         def close() -> None:
             nonlocal out, number
             out.close()
-            final = f"{root}/part-{part:06d}-{number:05d}.warc.gz"
+            final = f"{root}/part-{part:06d}-{number:05d}-{context.taskAttemptId()}.warc.gz"
             store.move(temp, final)
             done.append((final, records, size))
             out, number = None, number + 1
@@ -244,7 +241,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return plan_records(pages, id_col, url_col, payload_col, least_bytes).mapInArrow(run, "path string, records long, bytes long")
 
 
-def read_archives(paths: DataFrame, folder: str, most: int = 1 << 30) -> DataFrame:
+def read_archives(paths: DataFrame, folder: str, most: int = MOST) -> DataFrame:
     """Records and gaps (``kind``) of the archives named in column ``path``, in the store of ``folder``."""
     names = [x.split()[0] for x in READ_SCHEMA.split(", ")]
 
@@ -278,4 +275,5 @@ def round_trip(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id",
     write_archives(pages, folder, id_col, url_col, payload_col, least_bytes).write.parquet(manifest)
     names = spark.read.parquet(manifest).select("path")
     spread = names.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return read_archives(spread, folder).where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    whole = F.when(F.col("kind") == "record", True).otherwise(F.raise_error(F.concat(F.lit("an archive has a gap: "), "reason")).cast("boolean"))
+    return read_archives(spread, folder).where(whole).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
