@@ -12,7 +12,7 @@ is what executors get; every block reads all texts.
 
 Defined results: one row for each text row and item that occurs in it, with the least distance and the first place that
 has it (start and end in the folded text). Null or empty texts and items give no row; items of fewer than ``least``
-folded characters are no evidence of anything and take no part; repeated rows and items are reported each; null
+folded characters occur only exactly, as whole words (next to ideographs, anywhere); items without letters and digits give no row; repeated rows and items are reported each; null
 ids are kept; other columns, whatever their names, are not looked at.
 """
 
@@ -31,7 +31,7 @@ from fieldloom.llm.common import slices
 BLOCK = 4_000_000
 SLICE = 4 << 20
 RATE = 0.08  # edits a character of an item
-LEAST = 24  # folded characters of an item that takes part
+LEAST = 24  # folded characters of an item that may occur with edits
 OTHER = re.compile(r"[\W_]+")
 
 
@@ -39,9 +39,14 @@ def folded(text: str) -> str:
     return OTHER.sub(" ", text.lower()).strip()
 
 
-def budget(n: int, rate: float) -> int:
+def budget(n: int, rate: float, least: int = 0) -> int:
     """Edits that an item of ``n`` characters may have."""
-    return int(n * rate)
+    return int(n * rate) if n >= least else 0
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word of spaced scripts goes on over ``start`` or ``end``."""
+    return not any(0 < i < len(text) and " " not in text[i - 1 : i + 1] and max(text[i - 1 : i + 1]) < "\u2e80" for i in (start, end))
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -88,8 +93,8 @@ class Pattern:
 class Matcher:
     """Items of one block, ready to be searched for."""
 
-    def __init__(self, items: list[str], rate: float) -> None:
-        self.items, self.budgets = items, [budget(len(x), rate) for x in items]
+    def __init__(self, items: list[str], rate: float, least: int = 0) -> None:
+        self.items, self.budgets, self.least = items, [budget(len(x), rate, least) for x in items], least
         self.patterns: dict[int, tuple[Pattern, Pattern]] = {}
         places: dict[str, list[tuple[int, int]]] = {}
         for i, item in enumerate(items):
@@ -113,6 +118,11 @@ class Matcher:
             k, n = self.budgets[i], len(self.items[i])
             best = None
             begins = sorted(begins)
+            if n < self.least:
+                at = next((x for x in begins if whole_words(text, x, x + n)), None)
+                if at is not None:
+                    out.append((i, 0, at, at + n))
+                continue
             at = 0
             while at < len(begins):
                 low = high = begins[at]
@@ -134,7 +144,7 @@ class Matcher:
         return out
 
 
-def _blocks(benchmark: DataFrame, least: int, item_col: str, item_text: str) -> Iterator[tuple[pa.Array, list[str]]]:
+def _blocks(benchmark: DataFrame, item_col: str, item_text: str) -> Iterator[tuple[pa.Array, list[str]]]:
     """Ids and folded texts of the items, in blocks of bounded size."""
     items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
     size = items.agg(F.sum(F.length("text"))).head()[0] or 0
@@ -142,7 +152,7 @@ def _blocks(benchmark: DataFrame, least: int, item_col: str, item_text: str) ->
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).toArrow().sort_by([("text", "ascending"), ("item", "ascending")])
         ids, texts = own.column("item").combine_chunks(), [folded(x) for x in own.column("text").to_pylist()]
-        some = [i for i, x in enumerate(texts) if len(x) >= least]
+        some = [i for i, x in enumerate(texts) if x]
         yield ids.take(pa.array(some, pa.int64())), [texts[i] for i in some]
 
 
@@ -153,12 +163,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, lea
     id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"{id_col} {id_kind}, {item_col} {item_kind}, distance int, start long, end long"
     out = None
-    for block in _blocks(benchmark, least, item_col, item_text):
+    for block in _blocks(benchmark, item_col, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids, texts = shared.value
-            matcher = Matcher(texts, rate)
+            matcher = Matcher(texts, rate, least)
             for batch in batches:
                 for part in slices(batch, text_col, SLICE):
                     rows = [(i, *m) for i, x in enumerate(part.column(1).to_pylist()) if x for m in matcher.matches(folded(x))]
@@ -174,11 +184,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, lea
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, least: int = LEAST, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, in which no item occurs."""
     at = docs.columns.index(text_col)
-    for block in _blocks(benchmark, least, item_col, item_text):
+    for block in _blocks(benchmark, item_col, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block[1])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
+            matcher = Matcher(shared.value, rate, least)
             for batch in batches:
                 for part in slices(batch, text_col, SLICE):
                     yield part.filter(pa.array([not (x and matcher.matches(folded(x))) for x in part.column(at).to_pylist()], pa.bool_()))
