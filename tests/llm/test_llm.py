@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import base64
 import io
+import itertools
 import os
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -74,12 +77,19 @@ def test_edit_matching_is_brute_force():
 def test_contamination_of_odd_rows(spark):
     items = spark.createDataFrame([(1, "Some words, that stand HERE twice"), (2, None), (3, ""), (None, "some words that stood here twice"), (4, "short")], "item_id long, text string")
     got = decontam.contamination(odd_docs(spark), items).collect()
-    assert Counter((r.doc_id, r.item_id, r.distance) for r in got) == {(5, 1, 0): 2, (5, None, 2): 2}
-    assert decontam.clean(odd_docs(spark), items).count() == 7
+    assert Counter((r.doc_id, r.item_id, r.distance) for r in got) == {(5, 1, 0): 2, (5, None, 2): 2, (None, 4, 0): 1}
+    assert decontam.clean(odd_docs(spark), items).count() == 6
     assert decontam.contamination(odd_docs(spark).limit(0), items).count() == 0
     assert decontam.contamination(odd_docs(spark), items.limit(0)).count() == 0
 
 
+def test_short_items_occur_as_whole_words():
+    matcher = decontam.Matcher(["to be", "\u4e2d\u6587", "cat"], 0.08, decontam.LEAST)
+    assert matcher.matches("whether to be or not") == [(0, 0, 8, 13)]
+    assert matcher.matches("into bear concatenate cats") == []
+    assert matcher.matches("\u5b57\u4e2d\u6587\u5b57 a cat") == [(1, 0, 1, 3), (2, 0, 7, 10)]
+
+
 # 2 ------------------------------------------------------------------------------------------------------------
 
 
@@ -277,19 +287,36 @@ def turns(spark, rows):
 def test_rotation(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", "yo"), (2, 0, "system", "alone"), (None, 0, "cy", None), (3, None, None, "x"), (3, 1, "ann", "same"), (3, 1, "ann", "same")]
     got = {(r.conv_id, r.speaker, r.part): r for r in chat.rotate(turns(spark, rows)).collect()}
-    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (None, "cy", 0), (3, "", None), (3, "ann", None), (3, "", 0), (3, "ann", 0)}
+    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (None, "cy", 0), (3, "", 0), (3, "ann", 0)}
+    assert got[3, "ann", 0].first_turn is None
     r = got[1, "ann", 0]
     assert r.text == "<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi < |im_end|><|im_end|>\n<|im_start|>user name=bob\nyo<|im_end|>\n"
     (a, b), = [map(int, s.split("-")) for s in r.mask.split(",")]
     assert r.text[a:b] == "hi < |im_end|><|im_end|>"
-    assert got[3, "ann", 0].messages == 2 and len(got[3, "ann", 0].mask.split(",")) == 2
+    assert got[3, "ann", 0].messages == 3 and len(got[3, "ann", 0].mask.split(",")) == 2
     assert chat.rotate(turns(spark, rows).limit(0)).count() == 0
 
 
-def test_crowded_parts_are_not_gathered(spark):
-    rows = [(1, 5, "ann", "same")] * (chat.CROWD + 1) + [(1, 5, "bob", "x")]
-    got = chat.rotate(turns(spark, rows)).collect()
-    assert len(got) == 2 * (chat.CROWD + 2) and {r.messages for r in got} == {1}
+def test_one_conversation_of_most_rows_is_rendered_in_equal_parts(spark):
+    """One turn number for most messages, many of them equal; null conversations are one."""
+    rng = random.Random(3)
+    rows = [(None, 5, "ann", "same")] * 900 + [(None, rng.choice([5, 5, 6, None]), rng.choice(["bob", "system", "cy"]), f"m{rng.randrange(50)}") for _ in range(700)]
+    rows += [(i, t, "ann" if t % 2 else "bob", f"t{t}") for i in range(200) for t in range(3)]
+    rng.shuffle(rows)
+    got = chat.rotate(turns(spark, rows).repartition(7)).collect()
+    want = Counter()
+    for conv in {r[0] for r in rows}:
+        own = sorted((r[1:] for r in rows if r[0] == conv), key=lambda m: (m[0] is not None, m[0] or 0, m[1], m[2]))
+        for speaker in {m[1] for m in own} - {"system"}:
+            for part in range(-(-len(own) // chat.PART)):
+                text, spans, some = "", [], own[part * chat.PART : (part + 1) * chat.PART]
+                for _, role, said in some:
+                    text += chat.START + ("assistant" if role == speaker else "system" if role == "system" else f"user name={role}") + "\n"
+                    if role == speaker:
+                        spans.append(f"{len(text)}-{len(text + said + chat.END)}")
+                    text += said + chat.END + "\n"
+                want[conv, speaker, part, some[0][0], len(some), text, ",".join(spans)] += 1
+    assert Counter((r.conv_id, r.speaker, r.part, r.first_turn, r.messages, r.text, r.mask) for r in got) == want
 
 
 def test_rotation_is_native(spark):
@@ -308,6 +335,74 @@ def test_disguises_are_read():
     assert "idiot" in toxicity.Reader(model).apart(list("idiot"))
 
 
+def test_viterbi_is_the_best_of_all_readings():
+    model = toxicity.Model(toxicity.grams(["you idiot and moron the stupid trash clown loser is that in here with this pathetic worthless " * 20]))
+    rng, tried = random.Random(4), 0
+    for _ in range(400):
+        word = "".join(rng.choice("ido0t1$a.e@rs!m") for _ in range(rng.randint(2, 7)))
+        places = toxicity.lattice(word, apart=rng.random() < 0.3)
+        best = {}
+        for choice in itertools.product(*places):
+            state, cost = 0, 0.0
+            for letters, extra in choice:
+                cost += extra
+                for c in letters:
+                    cost += float(model.cost.reshape(-1, toxicity.SIGNS)[state, toxicity.LETTER(c)])
+                    state = (state * toxicity.SIGNS + toxicity.LETTER(c)) % toxicity.SIGNS**3
+            cost += float(model.cost.reshape(-1, toxicity.SIGNS)[state, 0])
+            read = "".join(x for x, _ in choice)
+            best[read] = min(cost, best.get(read, cost))
+        tried += len(best) > 3
+        assert best[model.decode(places)] == pytest.approx(min(best.values()), abs=1e-4)
+    assert tried > 100
+
+
+def test_random_indexing_and_network_are_plain_loops():
+    rng = np.random.default_rng(3)
+    lengths = np.array([0, 5, 1, 9, 0, 3])
+    rows = rng.integers(0, 12, lengths.sum())
+    index = quality.index_vectors(12, 5)
+    want, ends = np.zeros((12, quality.DIM)), np.cumsum(lengths)
+    for end, n in zip(ends, lengths, strict=True):
+        for i in range(end - n, end):
+            for j in range(max(end - n, i - 2), min(end, i + 3)):
+                if i != j:
+                    for k in range(4):
+                        want[rows[i], index[rows[j], k]] += 1 if k < 2 else -1
+    assert (quality.contexts(rows, lengths, index, 2).reshape(-1, quality.DIM) == want).all()
+    x, y = rng.normal(size=(200, 7)), rng.integers(0, 2, 200)
+    net = quality.Network.fit(x + y[:, None], y)
+    for row in x[:20]:
+        z = [min(max((a - m) * s, -8), 8) for a, m, s in zip(row, net.mean, net.scale, strict=True)]
+        hidden = [max(0.0, sum(a * w for a, w in zip(z, net.w1[:, j], strict=True)) + net.b1[j]) for j in range(net.w1.shape[1])]
+        logit = sum(h * w for h, w in zip(hidden, net.w2, strict=True)) + net.b2
+        assert net.predict(row[None])[0] == pytest.approx(1 / (1 + np.exp(-logit / net.temperature)), abs=1e-9)
+
+
+HUGE = {"letters": "abcdefg" * 150_000, "one letter": "a" * 1_000_000, "signs": "a" + "#%&?" * 250_000 + "a", "signs at the end": "word" + "!?" * 500_000, "ideographs": "\u4e2d\u6587\uff0c\u5b57" * 250_000, "base64": base64.b64encode(bytes(random.Random(1).randrange(256) for _ in range(300_000))).decode()}
+
+
+@pytest.mark.parametrize("kind", sorted(HUGE))
+def test_unbroken_texts_take_linear_time(kind):
+    model = toxicity.Model(toxicity.grams(["plain words that are read as they stand"]))
+    judge = toxicity.Judge(0.0, np.zeros(0, np.int64), np.zeros(0))
+    began = time.process_time()
+    assert 0 <= toxicity.Scorer(model, judge).scores([HUGE[kind], "some words"])[0] <= 1
+    words, shapes, _ = quality.tokens(quality.WordTable(quality.word_number), [HUGE[kind]])
+    assert len(words) == 1
+    assert time.process_time() - began < 40  # quadratic scans took minutes for a tenth of this
+
+
+def test_long_hosts_ask_for_few_keys(tmp_path):
+    for name, data in url_filter.DigestArray.files(queries.URL_RULES).items():
+        (tmp_path / name).write_bytes(data)
+    index = url_filter.DigestArray(str(tmp_path))
+    host, path = "a." * 50_000 + "example.org", "/es/" + "x" * 100_000
+    assert index.judge([(host, path), (host[:-4], path), ("a." * 50_000, "/fr/")]) == [("example.org/es/", False), (None, True), (None, True)]
+    with pytest.raises(ValueError):
+        url_filter.DigestArray.files([("block", "/no-host")])
+
+
 def auc(score, label):
     order = np.argsort(score, kind="stable")
     ranks = np.empty(len(score))
@@ -361,6 +456,25 @@ def test_phrases_are_brute_force():
         assert list(row) == [longest_matches(squeeze(text), squeeze(samples[k][0])) for k in ("x", "y")]
 
 
+def test_alphabets_of_many_scripts_are_told_apart(spark, monkeypatch):
+    """70 languages: 20 of ideographs, Greek and Cyrillic letters each; dense tables and sorted edges give the same phrases."""
+    rng = random.Random(6)
+    starts = [0x4E00 + 400 * i for i in range(20)] + [0x3B1] * 20 + [0x430] * 20 + [0x61] * 10
+    words = [["".join(chr(start + rng.randrange(300 if start > 0x4000 else 24)) for _ in range(rng.randint(2, 6))) for _ in range(60)] for start in starts]
+    text = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    samples = {f"l{k:02}": [text(k, 150)] for k in range(len(starts))}
+    asked = [text(k, 40) for k in range(len(starts))]
+    parser = language.Parser.fit(samples)
+    assert parser.judge(asked)[0] == sorted(samples)
+    dense = parser.phrases(asked)[0]
+    monkeypatch.setattr(language, "DENSE", 0)
+    assert (language.Parser.fit(samples).phrases(asked)[0] == dense).all()
+    # a language of one very long text only is learned, too
+    docs = spark.createDataFrame([(1, samples["l00"][0] * 200, "l00"), (2, asked[0], None), (5, asked[25], None)] + [(10 + i, text(25, 30), "l25") for i in range(20)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, language.fit(docs, F.lit(True))).collect()}
+    assert got[2] == "l00" and got[5] == "l25"
+
+
 def test_language_of_odd_rows(spark):
     docs = odd_docs(spark)
     got = [(r.doc_id, r.lang_pred, r.score) for r in language.identify(docs, language.fit(docs, F.lit(True))).collect()]
@@ -457,6 +571,34 @@ def test_words_give_the_ids_of_whole_texts():
     assert encoder.encode(texts) == [encoder._whole(t) for t in texts]
 
 
+def test_ids_of_control_characters_and_latin_letters():
+    encoder, rng = packing.Encoder(PATH), random.Random(8)
+    points = [chr(i) for i in range(0x180)] + list("\u2028\u3000\u4e2d\u0301\u1e9e\U0001f600")
+    texts = ["".join(rng.choice(points) if rng.random() < 0.5 else rng.choice("abc '.,1") for _ in range(rng.randint(1, 12))) for _ in range(20_000)] + ["a\x7fb", "\x1b[0m", "\x00"]
+    assert encoder.encode(texts) == [encoder._whole(x) for x in texts]
+
+
+def least_bins(lengths: tuple, room: int) -> int:
+    """The fewest bins, by trying every set of pieces for the bin of the first one."""
+    if not lengths:
+        return 0
+    first, rest = lengths[0], lengths[1:]
+    found = {tuple(x for i, x in enumerate(rest) if not mask >> i & 1) for mask in range(1 << len(rest)) if first + sum(x for i, x in enumerate(rest) if mask >> i & 1) <= room}
+    return 1 + min(least_bins(x, room) for x in found)
+
+
+def test_packing_is_exact_where_the_bound_says_so():
+    rng, certified = random.Random(9), 0
+    for _ in range(60):
+        lengths = [rng.randint(10, 70) for _ in range(rng.randint(1, 8))]
+        want = least_bins(tuple(lengths), 100)
+        bins, _ = packing.best_fit(np.array(lengths), 100)
+        bound = packing.lower_bound(np.bincount(lengths, minlength=101), 100)
+        assert bound <= want <= bins.max() + 1
+        certified += bound == bins.max() + 1
+    assert certified > 30
+
+
 def test_bounds_hold_and_bins_fit():
     rng = np.random.default_rng(0)
     for n, high in ((1, 100), (60, 100), (400, 60), (300, 100)):
