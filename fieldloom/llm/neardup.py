@@ -356,7 +356,7 @@ def _alike_by_rare_shingles(sets: DataFrame, least: float, tables: Tables) -> Da
                     rank = np.where(known[at] == keys, place[at], 0)
                 first, ahead, small = first_shingles(keys, weights, rank, least)
                 if whole:  # others than the known ones have one component
-                    some = np.isin(first, known)
+                    some = known[np.minimum(np.searchsorted(known, first), len(known) - 1)] == first if len(known) else np.zeros(len(first), bool)
                     first, ahead, small = first[some], ahead[some], small[some]
                 n = len(first)
                 columns = [pa.array(first.view(np.int64)), pa.array(small), pa.array(ahead), pa.array(np.full(n, weights.sum())), pa.array([node] * n, pa.binary()), pa.array([mark] * n, pa.binary())]
