@@ -722,6 +722,27 @@ def test_pipeline(spark):
     assert max(by.values()) <= 4096
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    words = {k: ["".join(rng.choice(x) for _ in range(rng.randint(3, 7))) for _ in range(80)] for k, x in {"aa": "abcdefgh", "zz": "stuvwxyz"}.items()}
+    text = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    rows = [(i, text("aa" if i % 2 else "zz", 40), "aa" if i % 2 else "zz") for i in range(60)]
+    rows += [(100, rows[3][1], "aa"), (3, rows[3][1], "aa"), (None, rows[4][1], "zz"), (None, text("aa", 30), None), (101, None, "aa"), (102, "", "aa"), (103, "12 34 !!", None), (104, text("zz", 30_000), "zz")]
+    kinds = "doc_id long, text string, lang string, source string, n_chars int, node string, label int, _row string"
+    docs = spark.createDataFrame([(*r, "s", 1, "n", 2, "r") for r in rows], kinds)
+    items = [(1, rows[7][1]), (2, None), (None, "")]
+    for name, made in {"full": docs, "empty": docs.limit(0)}.items():
+        made.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(i, i % 3 > 0, None) for i in range(3)], "doc_id long, toxic boolean, quality int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    assert Counter(r.doc_id for r in got if r.piece == 0) == Counter([i for i in range(60) if i != 7] + [None, 104])
+    assert sum(r.doc_id == 104 for r in got) > 10
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
+
+
 @needs_data
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_has_the_same_rows(spark, name):
