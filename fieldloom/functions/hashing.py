@@ -31,13 +31,13 @@ def row_digest(columns: list[Column]) -> Column:
     return F.sha2(F.concat_ws("|", *(F.coalesce(c.cast("string"), F.lit("\\N")) for c in columns)), 256)
 
 
-def ordered_digest(rows: DataFrame, key: str, order: str, text: Column) -> DataFrame:
-    """``key``, digest: SHA-256 of the digests of a key's rows, in ``order``."""
-    return (
-        rows.select(key, F.struct(F.col(order).alias("o"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("d")).alias("e"))
-        .groupBy(key)
-        .agg(F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list("e")), lambda e: e["d"])), 256).alias("digest"))
-    )
+def ordered_digest(rows: DataFrame, key: str, order: str, text: Column, block: int = 1024) -> DataFrame:
+    """``key``, digest: SHA-256 of the digests of a key's blocks, which are those of its rows in ``order``; a block spans
+    ``block`` values of ``order``, so a key of very many rows is hashed by many tasks."""
+    chained = lambda c: F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(c)), lambda e: e["d"])), 256)
+    row = F.struct(F.col(order).alias("o"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("d"))
+    blocks = rows.select(key, F.floor(F.col(order) / block).alias("b"), row.alias("e")).groupBy(key, "b").agg(chained("e").alias("d"))
+    return blocks.groupBy(key).agg(chained(F.struct("b", "d")).alias("digest"))
 
 
 def bundle_digest(parts: list[Column]) -> Column:

@@ -1,11 +1,13 @@
-"""Exact metrics of binary probabilities, for one group or many. Rows are first summed by (group, probability), so
-windows run over distinct probabilities."""
+"""Exact metrics of binary probabilities, for one group or many. Rows are first summed by (group, probability); running sums
+over distinct probabilities go by ranges, so no task sees all of a group."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldloom.operators.ranges import running
+
 
 def _by_score(rows: DataFrame, keys: list[str], p: str, y: str) -> DataFrame:
     return rows.groupBy(*keys, F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("pos"))
@@ -13,9 +15,7 @@ def _by_score(rows: DataFrame, keys: list[str], p: str, y: str) -> DataFrame:
 
 def ranking_metrics(rows: DataFrame, keys: list[str], p: str = "p", y: str = "y") -> DataFrame:
     """Average precision (equal probabilities share a threshold) and ROC AUC (Mann-Whitney, ties half)."""
-    down = Window.partitionBy(*keys).orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    step = _by_score(rows, keys, p, y).withColumns({"tp": F.sum("pos").over(down), "seen": F.sum("n").over(down), "all_pos": F.sum("pos").over(whole), "all_n": F.sum("n").over(whole)})
+    step = running(_by_score(rows, keys, p, y), keys, [F.desc("p")], {"tp": "pos", "seen": "n"}).withColumnsRenamed({"all_tp": "all_pos", "all_seen": "all_n"})
     precision = F.col("pos") / F.col("all_pos") * (F.col("tp") / F.col("seen"))
     negatives = F.col("all_n") - F.col("all_pos")
     below = negatives - (F.col("seen") - F.col("tp"))  # negatives with a smaller probability
@@ -60,7 +60,11 @@ def faulty(rows: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
 def calibration_curve(rows: DataFrame, bins: int = 10, p: str = "p", y: str = "y") -> DataFrame:
     """bin, n, mean_p, observed over quantile bins with exact (interpolated) edges; a value on an inner edge belongs to
     the bin it begins, edges that fall together leave bins out."""
-    edges = rows.agg(F.percentile(p, F.array(*(F.lit(i / bins) for i in range(1, bins))))).scalar()
+    seen = running(rows.where(F.col(p).isNotNull()).groupBy(F.col(p).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), [], [F.col("v")], {"seen": "n"})
+    at = lambda i, whole: F.min(F.when(F.col("seen") > whole((F.col("all_seen") - 1) * F.lit(i) / bins), F.col("v")))
+    share = lambda i: F.max((F.col("all_seen") - 1) * F.lit(i) / bins % 1)
+    edge = lambda i: at(i, F.floor) + (at(i, F.ceil) - at(i, F.floor)) * share(i)
+    edges = seen.agg(F.array(*(edge(i) for i in range(1, bins)))).scalar()
     placed = rows.select(F.col(p).alias("p"), F.col(y).cast("double").alias("y"), edges.alias("edges")).withColumn("bin", F.size(F.filter("edges", lambda e: e <= F.col("p"))))
     return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("p").alias("mean_p"), F.avg("y").alias("observed"))
 

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom.operators.ranges import free, running
+
 SPLITS = ("train", "validation", "test")
 PHASES = ("tune", "calibrate", "calibration_evaluation")
+BLOCK = 4096  # matches in one digest of a fingerprint
 ORDER = ["match_date", "kick_off", "competition_id", "season_id", "match_id"]
 
 
-def ranked(matches: DataFrame, order: list[str], buckets: int = 64) -> DataFrame:
-    """split_order (zero-based) and total. Rows are ranged into ``buckets`` by the first order column, ranked in
-    each, and each bucket's start is added, so no task sees all rows."""
-    first = order[0]
-    as_number = lambda c: F.unix_micros(c.cast("timestamp")) if dict(matches.dtypes)[first] in ("date", "timestamp", "timestamp_ntz") else c.cast("double")
-    low, high = matches.agg(as_number(F.min(first)), as_number(F.max(first))).head()  # one row
-    share = (as_number(F.col(first)) - low) / max(high - low, 1) if high is not None else F.lit(0.0)
-    rows = matches.withColumn("_bucket", F.floor(share * (buckets - 1)).cast("int"))
-    sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.orderBy("_bucket")  # at most ``buckets`` rows
-    starts = sizes.select("_bucket", (F.sum("_n").over(whole) - F.col("_n")).alias("_start"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("total"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
-    return rows.withColumn("_within", within).join(F.broadcast(starts), "_bucket").withColumn("split_order", F.col("_start") + F.col("_within")).drop("_bucket", "_within", "_start")
+def ranked(matches: DataFrame, order: list[str]) -> DataFrame:
+    """split_order (zero-based) and total, by ranges of the whole order, whatever its values are. Null in the first order
+    column is an error."""
+    first, one = order[0], free(matches, "_one")
+    known = F.when(F.col(first).isNotNull(), F.lit(1).cast("long")).otherwise(F.raise_error(F.lit(f"{first} is null")).cast("long"))
+    rows = running(matches.withColumn(one, known), [], [F.col(c) for c in order], {"rows": one})
+    return rows.select(*matches.columns, (F.col("rows") - 1).alias("split_order"), F.col("all_rows").alias("total"))
 
 
 def split_of(order: Column, n: Column) -> Column:
@@ -68,7 +65,8 @@ def summary(splits: DataFrame, labelled: DataFrame, start: Column) -> DataFrame:
 
 
 def fingerprint(splits: DataFrame) -> DataFrame:
-    """One digest of the whole assignment, from digests of 256 hashed groups of matches."""
-    row = F.sha2(F.concat_ws("|", "match_id", "split", "split_order"), 256)
-    parts = splits.groupBy(F.pmod(F.xxhash64("match_id"), F.lit(256)).alias("g")).agg(F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(row))), 256).alias("d"))
-    return parts.agg(F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("g", "d"))), lambda e: e["d"])), 256).alias("fingerprint"))
+    """One digest of the whole assignment: of the digests of ``BLOCK`` matches each, in split order."""
+    row = F.struct("split_order", F.sha2(F.concat_ws("|", "match_id", "split", "split_order"), 256).alias("d"))
+    chained = lambda c: F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(c)), lambda e: e["d"])), 256)
+    blocks = splits.groupBy(F.floor(F.col("split_order") / BLOCK).alias("b")).agg(chained(row).alias("d"))
+    return blocks.agg(chained(F.struct("b", "d")).alias("fingerprint"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry, hashing, text
-from fieldloom.operators import labels, metrics, players, rules, snapshots, splits, states, validation, valuation
+from fieldloom.operators import labels, metrics, normalize, players, rules, snapshots, splits, states, validation, valuation
 from fieldloom.plans.adapters import ACTIONS_SQL, GAP, actions_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,12 +199,13 @@ def provenance_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "contiguity_faults",
-    f"""WITH {ACTIONS_SQL}, k AS (SELECT match_id, action_id FROM actions WHERE event_id % 97 <> 0)
+    f"""WITH {ACTIONS_SQL}, k AS (SELECT match_id, CASE WHEN event_id % 97 = 0 THEN action_id + 1 ELSE action_id END AS action_id FROM actions)
       SELECT match_id, count(*) AS n, count(DISTINCT action_id) AS d, min(action_id) AS low, max(action_id) AS high FROM k GROUP BY match_id
       HAVING count(*) <> count(DISTINCT action_id) OR min(action_id) <> 0 OR max(action_id) <> count(*) - 1""",
 )
 def contiguity_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return states.contiguous(actions(spark, sf_dir).where("event_id % 97 <> 0"))
+    moved = F.when(F.col("event_id") % 97 == 0, F.col("action_id") + 1).otherwise(F.col("action_id"))
+    return states.contiguous(actions(spark, sf_dir).withColumn("action_id", moved))
 
 
 _LINE_ORDER = "l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -394,29 +395,32 @@ def order_hashes(rows: DataFrame) -> DataFrame:
 
 @query(
     "snapshot_diff",
-    """WITH n AS (SELECT o_orderkey, sha256(concat_ws('|', o_custkey, o_orderstatus, o_orderpriority)) AS h FROM orders WHERE o_orderkey % 11 <> 0),
-      o AS (SELECT o_orderkey, sha256(concat_ws('|', o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END, o_orderpriority)) AS h FROM orders WHERE o_orderkey % 13 <> 0)
+    """WITH n AS (SELECT o_orderkey, sha256(concat_ws('|', o_custkey, o_orderstatus, o_orderpriority)) AS h FROM orders),
+      o AS (SELECT CASE WHEN o_custkey % 13 = 0 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, sha256(concat_ws('|', o_custkey, CASE WHEN o_totalprice > 250000 THEN 'X' ELSE o_orderstatus END, o_orderpriority)) AS h FROM orders)
       SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey, o.h AS old_hash, n.h AS new_hash,
         CASE WHEN o.h IS NULL THEN 'new' WHEN n.h IS NULL THEN 'removed' WHEN n.h = o.h THEN 'unchanged' ELSE 'changed' END AS status FROM n FULL OUTER JOIN o ON n.o_orderkey = o.o_orderkey""",
 )
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Before, some orders had another status and some another key."""
     orders = table(spark, sf_dir, "orders")
-    before = orders.where("o_orderkey % 13 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
-    return snapshots.snapshot_diff(order_hashes(orders.where("o_orderkey % 11 <> 0")), order_hashes(before), ["o_orderkey"])
+    before = orders.withColumn("o_orderstatus", F.when(F.col("o_totalprice") > 250000, "X").otherwise(F.col("o_orderstatus"))).withColumn("o_orderkey", F.when(F.col("o_custkey") % 13 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")))
+    return snapshots.snapshot_diff(order_hashes(orders), order_hashes(before), ["o_orderkey"])
 
 
 @query(
     "merge_upsert",
-    """WITH o AS (SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 5 <> 0),
-      n AS (SELECT c_custkey, upper(c_name) AS c_name, CASE WHEN c_custkey % 2 = 0 THEN 'CHANGED' END AS c_mktsegment, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 3 = 0)
+    """WITH o AS (SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer),
+      n AS (SELECT s_suppkey * 31 AS c_custkey, upper(s_name) AS c_name, CASE WHEN s_nationkey % 2 = 0 THEN 'CHANGED' END AS c_mktsegment, s_acctbal AS c_acctbal FROM supplier)
       SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_name ELSE o.c_name END AS c_name, coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment,
         CASE WHEN n.c_custkey IS NOT NULL THEN n.c_acctbal ELSE o.c_acctbal END AS c_acctbal,
         CASE WHEN n.c_custkey IS NULL THEN 'kept' WHEN o.c_custkey IS NULL THEN 'inserted' ELSE 'updated' END AS change FROM n FULL OUTER JOIN o ON n.c_custkey = o.c_custkey""",
 )
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers, under spread keys, come into the customers."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    new = customer.where("c_custkey % 3 = 0").select("c_custkey", F.upper("c_name").alias("c_name"), F.when(F.col("c_custkey") % 2 == 0, "CHANGED").alias("c_mktsegment"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
-    return snapshots.merged(customer.where("c_custkey % 5 <> 0"), new, ["c_custkey"], keep=["c_mktsegment"], mark=True)
+    segment = F.when(F.col("s_nationkey") % 2 == 0, "CHANGED")
+    new = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 31).alias("c_custkey"), F.upper("s_name").alias("c_name"), segment.alias("c_mktsegment"), F.col("s_acctbal").alias("c_acctbal"))
+    return snapshots.merged(customer, new, ["c_custkey"], keep=["c_mktsegment"], mark=True)
 
 
 _RULES = """list_filter([CASE WHEN o_totalprice > 400000 THEN 'price_out_of_range' END, CASE WHEN o_orderstatus = 'P' THEN 'status_pending' END,
@@ -491,20 +495,22 @@ def canonical_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') AS is_integer, json_extract_string(props, '$.absent') IS NULL AS absent FROM events",
 )
 def json_extract_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = F.parse_json("props")
-    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"), (F.schema_of_variant(F.variant_get(v, "$.k", "variant")) == "BIGINT").alias("is_integer"), F.try_variant_get(v, "$.absent", "string").isNull().alias("absent"))
+    props = normalize.Json(F.parse_json("props"))
+    k, absent = props.at("$.k"), props.at("$.absent")
+    return table(spark, sf_dir, "events").select("event_id", k.get("bigint").alias("k"), k.is_int.alias("is_integer"), absent.absent.alias("absent"))
 
 
 @query(
     "content_hash",
-    "SELECT conv_id, sha256(string_agg(sha256(coalesce(role, '') || ':' || coalesce(text, '')), chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id",
+    """WITH b AS (SELECT conv_id, floor(turn / 1024) AS b, sha256(string_agg(sha256(coalesce(role, '') || ':' || coalesce(text, '')), chr(10) ORDER BY turn)) AS d FROM conversations GROUP BY ALL)
+      SELECT conv_id, sha256(string_agg(d, chr(10) ORDER BY b)) AS digest FROM b GROUP BY conv_id""",
 )
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.coalesce("role", F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
     return hashing.ordered_digest(table(spark, sf_dir, "conversations"), "conv_id", "turn", body)
 
 
-@query("canonical_json_hash")
+@query("canonical_json_hash", "SELECT event_id, sha256('{\"k\":' || json_extract_string(props, '$.k') || '}') AS digest FROM events")
 def canonical_json_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", hashing.json_digest("props").alias("digest"))
 
@@ -633,7 +639,11 @@ def one_hot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("named", text.one_hot_name({t: F.col(f"actiontype_{t}") for t in _TYPES[:3]}))
 
 
-@query("split_fingerprint")
+@query(
+    "split_fingerprint",
+    f"""WITH {_SPLIT}, r AS (SELECT match_id % 256 AS g, split_order // {splits.BLOCK} AS b, split_order, sha256(concat_ws('|', match_id, split, split_order)) AS d FROM split),
+      p AS (SELECT b, sha256(string_agg(d, chr(10) ORDER BY split_order)) AS d FROM r GROUP BY b) SELECT sha256(string_agg(d, chr(10) ORDER BY b)) AS fingerprint FROM p""",
+)
 def split_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.fingerprint(split_orders(spark, sf_dir))
 
@@ -656,22 +666,20 @@ def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.softly_deleted(rows, rows.where("c_custkey % 3 = 0"), ["c_custkey"], F.lit(7), F.current_timestamp()).drop("removed_at")
 
 
-@query(
-    "union_of_batches",
-    "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 = 1",
-)
+@query("union_of_batches", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def union_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches that together are the whole table."""
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return snapshots.disjoint_union([rows.where("o_orderkey % 3 = 0"), rows.where("o_orderkey % 3 = 1")], ["o_orderkey"])
+    return snapshots.disjoint_union([rows.where(F.col("o_orderkey") % 3 == i) for i in range(3)], ["o_orderkey"])
 
 
 @query(
     "keys_reconciled",
-    "SELECT coalesce(o_orderkey, l_orderkey) AS k, CASE WHEN o_orderkey IS NULL THEN 'right' ELSE 'left' END AS side FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0) FULL OUTER JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR l_orderkey IS NULL",
+    "SELECT coalesce(c_custkey, k) AS k, CASE WHEN c_custkey IS NULL THEN 'right' ELSE 'left' END AS side FROM customer FULL OUTER JOIN (SELECT DISTINCT o_custkey + 100 AS k FROM orders) ON c_custkey = k WHERE c_custkey IS NULL OR k IS NULL",
 )
 def keys_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k"))
-    return validation.keys_reconciled(left, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).distinct(), ["k"])
+    left = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return validation.keys_reconciled(left, table(spark, sf_dir, "orders").select((F.col("o_custkey") + 100).alias("k")).distinct(), ["k"])
 
 
 @query(
@@ -713,27 +721,6 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT o_orderstatus, count(DISTINCT o_custkey) AS customers, count(*) AS orders, coalesce(sum(CASE WHEN o_totalprice > 250000 THEN 1 END), 0)::BIGINT AS large, coalesce(max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END), -1) AS last_urgent FROM orders GROUP BY o_orderstatus",
 )
 def distinct_and_active_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.countDistinct("o_custkey").alias("customers"), F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_totalprice") > 250000).alias("large"), F.coalesce(F.max(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey"))), F.lit(-1)).alias("last_urgent"))
-
-
-@query(
-    "possession_order_faults",
-    """SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, o_totalprice, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS b FROM orders) WHERE b > o_totalprice""",
-)
-def possession_order_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = F.lag("o_totalprice").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
-    return table(spark, sf_dir, "orders").withColumn("b", before).where("b > o_totalprice").select("o_custkey", "o_orderkey")
-
-
-@query(
-    "action_features",
-    f"""WITH {ACTIONS_SQL}, p AS (SELECT *, row_number() OVER ({_P}) AS n FROM actions),
-      s AS (SELECT *, coalesce(lag(time_seconds, 1) OVER ({_P}), first_value(time_seconds) OVER ({_P})) AS t1, coalesce(lag(time_seconds, 2) OVER ({_P}), first_value(time_seconds) OVER ({_P})) AS t2,
-        coalesce(lag(team_id, 1) OVER ({_P}), first_value(team_id) OVER ({_P})) AS m1, coalesce(lag(team_id, 2) OVER ({_P}), first_value(team_id) OVER ({_P})) AS m2 FROM p)
-      SELECT match_id, action_id, round(time_seconds - t1, 3) AS time_delta_1, round(time_seconds - t2, 3) AS time_delta_2, m1 = team_id AS team_1, m2 = team_id AS team_2 FROM s""",
-)
-def action_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = states.game_states(actions(spark, sf_dir), ["time_seconds", "team_id"])
-    delta = lambda k: F.round(F.col("time_seconds_a0") - F.col(f"time_seconds_a{k}"), 3).alias(f"time_delta_{k}")
-    same = lambda k: (F.col(f"team_id_a{k}") == F.col("team_id_a0")).alias(f"team_{k}")
-    return rows.select("match_id", "action_id", delta(1), delta(2), same(1), same(2))
+    rows = table(spark, sf_dir, "orders")
+    last = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey"))
+    return snapshots.inventory(rows, ["o_orderstatus"], {"customers": "o_custkey"}, "orders", {"large": F.col("o_totalprice") > 250000}, {"last_urgent": last})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app: str = "fieldloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,3 +25,25 @@ def build(app: str = "fieldloom", master: str | None = None, **conf: str) -> Spa
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors see: ``spark.checkpoint.dir``. Where it is unset, a local session gets a temporary one;
+    on a cluster that is an error, as executors wouldn't find one another's files."""
+    context = spark.sparkContext._jsc.sc()
+    found = spark.conf.get("spark.checkpoint.dir", None) or (context.getCheckpointDir().get() if context.getCheckpointDir().isDefined() else None)
+    if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="fieldloom-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    if not context.getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, its lineage cut; survives lost executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
