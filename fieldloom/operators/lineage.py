@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fields that two runs of the same inputs may differ in, and the order of a manifest's statuses.
 VOLATILE = ("created_at", "completed_at", "started_at", "duration_seconds", "path", "host")
 STATUSES = ("ready_for_training", "experimental", "baselines_evaluated", "validation_complete", "test_evaluation_complete", "valuation_complete", "aggregation_complete", "persistence_complete")
 MESSAGE = 4000
@@ -33,13 +35,89 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+class Local:
+    """Small documents in a folder of this machine."""
+
+    def __init__(self, folder: str | Path) -> None:
+        self.folder = Path(folder)
+
+    def read(self, name: str) -> str | None:
+        path = self.folder / name
+        return path.read_text(encoding="utf-8") if path.exists() else None
+
+    def write(self, name: str, text: str) -> None:
+        """Put in place as a whole."""
+        path = self.folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        beside = path.with_name(path.name + ".part")
+        beside.write_text(text, encoding="utf-8")
+        beside.replace(path)
+
+    def create(self, name: str, text: str) -> bool:
+        """False where the document stands already."""
+        path = self.folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            with path.open("x", encoding="utf-8") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
+
+
+class Shared:
+    """The same in any store that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.jvm, self.folder = spark.sparkContext._jvm, folder.rstrip("/")
+        self.files = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+
+    def read(self, name: str) -> str | None:
+        path = self._path(name)
+        if not self.files.exists(path):
+            return None
+        stream = self.files.open(path)
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _put(self, path, text: str, overwrite: bool) -> None:
+        out = self.files.create(path, overwrite)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def write(self, name: str, text: str) -> None:
+        beside = self._path(name + ".part")
+        self._put(beside, text, True)
+        self.files.delete(self._path(name), False)
+        self.files.rename(beside, self._path(name))
+
+    def create(self, name: str, text: str) -> bool:
+        if self.files.exists(self._path(name)):
+            return False
+        try:
+            self._put(self._path(name), text, False)
+        except Exception as error:
+            if "AlreadyExists" not in str(error):
+                raise
+            return False
+        return True
+
+
+def dump(document: dict) -> str:
+    return json.dumps(document, sort_keys=True, indent=2, ensure_ascii=False) + "\n"
+
+
 def write_json(path: str | Path, document: dict) -> None:
     """A document put in place as a whole."""
     path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    beside = path.with_name(path.name + ".part")
-    beside.write_text(json.dumps(document, sort_keys=True, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
-    beside.replace(path)
+    Local(path.parent).write(path.name, dump(document))
 
 
 def read_json(path: str | Path) -> dict:
@@ -59,38 +137,39 @@ def advance(manifest: dict, status: str, **more) -> dict:
 
 
 class Runs:
-    """A run table as one document a run key: claimed once, retried after a failure, refused while running or done."""
+    """A run table as one document a run key: claimed once, retried after a failure, refused while running or done. A run that
+    says nothing for ``lease`` seconds counts as failed, so a killed driver doesn't hold its key for good."""
 
-    def __init__(self, folder: str | Path) -> None:
-        self.folder = Path(folder)
+    def __init__(self, store: str | Path | Local | Shared, lease: float = 6 * 3600.0, owner: str = "") -> None:
+        self.store = Local(store) if isinstance(store, (str, Path)) else store
+        self.lease, self.owner = lease, owner
 
-    def _path(self, key: str) -> Path:
-        return self.folder / f"{key}.json"
+    def _running(self, key: str, parts: dict) -> str:
+        return dump({"key": key, "parts": parts, "status": "running", "owner": self.owner, "until": time.time() + self.lease})
 
     def claim(self, parts: dict) -> tuple[str, bool]:
         """(key, whether the caller should run). A finished run isn't done again."""
         key = run_key(parts)
-        self.folder.mkdir(parents=True, exist_ok=True)
-        try:
-            with self._path(key).open("x", encoding="utf-8") as out:
-                json.dump({"key": key, "parts": parts, "status": "running"}, out)
+        if self.store.create(f"{key}.json", self._running(key, parts)):
             return key, True
-        except FileExistsError:
-            known = read_json(self._path(key))
-        if known["status"] == "running":
+        known = json.loads(self.store.read(f"{key}.json"))
+        if known["status"] == "running" and known.get("until", 0) > time.time():
             raise RuntimeError(f"run {key} is already running")
-        if known["status"] == "failed":
-            write_json(self._path(key), known | {"status": "running"})
+        if known["status"] in ("failed", "running"):
+            self.store.write(f"{key}.json", self._running(key, parts))
             return key, True
         return key, False
 
+    def _set(self, key: str, **more) -> None:
+        self.store.write(f"{key}.json", dump(json.loads(self.store.read(f"{key}.json")) | more))
+
     def complete(self, key: str, counts: dict) -> None:
         if all(k in counts for k in ("raw", "accepted", "rejected", "deduplicated")) and counts["raw"] != counts["accepted"] + counts["rejected"] + counts["deduplicated"]:
             raise ValueError("counts don't add up")
-        write_json(self._path(key), read_json(self._path(key)) | {"status": "succeeded", "counts": counts})
+        self._set(key, status="succeeded", counts=counts)
 
     def fail(self, key: str, message: str) -> None:
-        write_json(self._path(key), read_json(self._path(key)) | {"status": "failed", "message": message[:MESSAGE]})
+        self._set(key, status="failed", message=message[:MESSAGE])
 
 
 def canonical(document):

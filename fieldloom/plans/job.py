@@ -7,12 +7,13 @@ import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom import session
-from fieldloom.operators import actions, dataset, features, labels, lineage, models, normalize, players, snapshots, splits, states, validation, valuation
+from fieldloom.operators import actions, dataset, features, labels, lineage, models, normalize, players, rules, snapshots, splits, states, validation, valuation
 from fieldloom.schemas import VERSIONS
+from fieldloom.session import cut
 from fieldloom.sources import json_arrays, tables
 
 
@@ -29,38 +30,114 @@ class Job:
         return f"{self.out}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.at(name))
+        """Active rows of a table."""
+        rows = self.spark.read.parquet(self.at(name))
+        if "is_active" not in rows.columns:
+            return rows
+        return tables.active(rows).drop("is_active", "removed_at", "removed_ingestion_run_id").withColumn("match_id", F.col("match_id").cast("long"))  # folders hold it as text
+
+    @property
+    def run_id(self) -> str:
+        return lineage.run_key({"raw": self.raw, "out": self.out})[:16]
 
     def save(self, rows: DataFrame, name: str, version: str, by: tuple[str, ...] = ()) -> None:
         tables.write(rows, self.at(name), list(by), {version: VERSIONS[version]}, "overwrite")
 
 
+FOLDERS = {"lineup": "lineups", "event": "events", "three_sixty": "three-sixty"}
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"is_active": F.lit(True), "removed_at": F.lit(None).cast("timestamp"), "removed_ingestion_run_id": F.lit(None).cast("string")})
+
+
+def _rejects(rows: DataFrame, issues: Column, payload: str = "payload") -> DataFrame:
+    """match_id, family, payload, source_file, reason_code, reason of rejected rows."""
+    return rows.withColumn("issues", issues).select("match_id", "family", F.col(payload).alias("payload"), "source_file", snapshots.reason_code(F.col("issues")).alias("reason_code"), F.concat_ws("; ", "issues").alias("reason"))
+
+
 def ingest(job: Job) -> None:
-    """Typed, validated, deduplicated events, intervals and frames; what is rejected goes to quarantine with its reason."""
-    raw = lambda folder, kind, named=True: json_arrays.raw_records(job.spark, f"{job.raw}/{folder}", kind, job.source, named)
-    matches = json_arrays.match_metadata(json_arrays.good(raw("matches/*/*.json", "match", False)))
-    job.save(matches, "matches", "events")
-    matches = job.table("matches")
-    records = raw("lineups/*.json", "lineup")
-    lineups = normalize.intervals(json_arrays.good(records))
-    good = lineups.where("error_code is null").drop("error_code")
-    job.save(snapshots.last_wins(good, ["source", "match_id", "player_id", "position_id", "from_seconds"], ["source_record_index"]), "intervals", "events")
-    records = raw("events/*.json", "event")
-    typed = normalize.events(json_arrays.good(records))
-    checked = validation.validated_events(snapshots.first_wins(typed, ["source", "source_event_id"], ["match_id", "source_record_index"]), matches, job.table("intervals"))
-    checked = checked.withColumn("issues", F.when(F.col("error_code").isNotNull(), F.array("error_code")).otherwise(F.col("issues"))).drop("error_code")
-    checked = checked.checkpoint(eager=True)
-    job.save(checked.where(F.size("issues") == 0).drop("issues"), "events", "events")
-    rejected = checked.withColumn("source_file", F.lit("events"))
-    tables.write(snapshots.quarantine(rejected, "issues", F.col("raw_details"), F.col("source_file"), ""), job.at("quarantine"), mode="overwrite")
+    """Typed, validated, deduplicated events, intervals and frames of the matches whose files are new or changed since the last
+    load; matches whose files are gone become inactive, those that come again active. Nothing is written if no file changed.
+    Whatever is not accepted goes to quarantine with its file and reason, unless it repeats an accepted record; raw records are
+    accepted, rejected or deduplicated, and a load whose counts don't add up fails."""
+    spark = job.spark
+    families = {k: v for k, v in FOLDERS.items() if k != "three_sixty" or job.include_frames}
+    found = cut(json_arrays.inventory(spark, {k: f"{job.raw}/{v}/*.json" for k, v in families.items()}))
+    known = tables.read_or_empty(spark, job.at("checkpoints"), "match_id long, content_hash string")
+    plan = cut(snapshots.snapshot_diff(found, known, ["match_id"]))
+    chosen, gone = plan.where("status in ('new', 'changed')"), plan.where("status = 'removed'")
+    raw_matches = json_arrays.raw_records(spark, f"{job.raw}/matches/*/*.json", "match", job.source, False)
+    if unreadable := raw_matches.where("read_error is not null").head():
+        raise ValueError(f"raw_data_unreadable: {unreadable.source_file}: {unreadable.read_error}")
+    matches = cut(json_arrays.match_metadata(json_arrays.good(raw_matches)))
+    if faulty := matches.withColumn("issues", rules.issues(validation.match_rules())).where(F.size("issues") > 0).select("match_id", "issues").head():
+        raise ValueError(f"match {faulty.match_id}: {'; '.join(faulty.issues)}")
+    stored = tables.read_or_empty(spark, job.at("matches"), matches.schema)
+    if not snapshots.contents_equal(matches, stored.select(*matches.columns)):
+        job.save(matches, "matches", "events")
+    if not plan.where("status <> 'unchanged'").head(1):
+        return
+    raw = {k: cut(json_arrays.raw_records(spark, f"{job.raw}/{v}/*.json", k, job.source, chosen=chosen).withColumn("family", F.lit(k))) for k, v in families.items()}
+    rejected = [_rejects(rows.where("read_error is not null"), F.array("read_error")) for rows in raw.values()]
+    beside = {k: rows.where("read_error is null").select("match_id", "source_record_index", "family", "payload", "source_file") for k, rows in raw.items()}
+    place = ["match_id", "source_record_index"]
+
+    lineups = cut(normalize.intervals(json_arrays.good(raw["lineup"])).withColumn("issues", F.when(F.col("error_code").isNotNull(), F.array("error_code")).otherwise(rules.issues(validation.interval_rules()))))
+    broken = lineups.where(F.size("issues") > 0).groupBy(*place).agg(F.first("issues").alias("issues"))  # a record with a bad position is rejected whole
+    rejected.append(_rejects(broken.join(beside["lineup"], place), F.col("issues")))
+    good = lineups.join(broken, place, "left_anti").drop("issues", "error_code")
+    intervals = cut(snapshots.last_wins(good, ["source", "match_id", "player_id", "position_id", "from_seconds"], ["source_record_index"]))
+
+    typed = normalize.events(json_arrays.good(raw["event"]))
+    named = F.coalesce("source_event_id", F.concat_ws("#", *place))  # records without an id stand for themselves
+    first = cut(snapshots.first_wins(typed.withColumn("record", named), ["source", "record"], place).drop("record"))
+    others = tables.read_or_empty(spark, job.at("events"), "source string, source_event_id string, match_id long").join(chosen, "match_id", "left_anti")
+    first = snapshots.missing(first, others.select("source", "source_event_id"), ["source", "source_event_id"])
+    checked = validation.validated_events(first, matches, intervals)
+    checked = cut(checked.withColumn("issues", F.when(F.col("error_code").isNotNull(), F.array("error_code")).otherwise(F.col("issues"))).drop("error_code"))
+    events = checked.where(F.size("issues") == 0).drop("issues")
+    rejected.append(_rejects(checked.where(F.size("issues") > 0).select(*place, "issues").join(beside["event"], place), F.col("issues")))
+
+    contract = validation.across_events(events, matches, intervals).unionByName(validation.across_lineups(intervals, matches.join(chosen, "match_id", "left_semi")))
+    written = {"intervals": intervals, "events": events}
     if job.include_frames:
-        found = normalize.frames(json_arrays.good(raw("three-sixty/*.json", "three_sixty")))
-        found = snapshots.first_wins(found.where("error_code is null").drop("error_code"), ["source", "source_event_id"], ["source_record_index"])
-        found = validation.validated_frames(found, job.table("events"))
-        job.save(found.where(F.size("issues") == 0).drop("issues"), "frames", "geometry")
+        seen = normalize.frames(json_arrays.good(raw["three_sixty"]))
+        framed = snapshots.first_wins(seen.withColumn("record", named), ["source", "record"], place).drop("record")
+        framed = validation.validated_frames(framed, events)
+        framed = cut(framed.withColumn("issues", F.when(F.col("error_code").isNotNull(), F.array("error_code")).otherwise(F.col("issues"))).drop("error_code"))
+        rejected.append(_rejects(framed.where(F.size("issues") > 0).select(*place, "issues").join(beside["three_sixty"], place), F.col("issues")))
+        written["frames"] = framed.where(F.size("issues") == 0).drop("issues")
+        contract = contract.unionByName(validation.across_frames(written["frames"]))
+    stopping = rules.blocked(contract, ["match_id", "code"])
+    if fault := stopping.head():
+        raise ValueError(f"match {fault.match_id}: {fault.code}")
+
+    bad = rejected[0]
+    for part in rejected[1:]:
+        bad = bad.unionByName(part)
+    bad = cut(bad)
+    counts = raw["event"].groupBy().agg(F.count(F.lit(1)).alias("raw")).head().raw
+    accepted, refused = events.count(), bad.where("family = 'event'").count()
+    lineage.Shared(spark, f"{job.out}/reports").write("ingest.json", lineage.dump({"raw": counts, "accepted": accepted, "rejected": refused, "deduplicated": counts - accepted - refused}))
+    if accepted + refused > counts:
+        raise ValueError("counts don't add up")
+
+    for name, rows in written.items():
+        was = tables.read_or_empty(spark, job.at(name), _marked(rows).schema).join(gone, "match_id", "left_semi")
+        removed = snapshots.softly_deleted(was, gone, ["match_id"], F.lit(job.run_id), F.current_timestamp())
+        tables.replace_partitions(cut(_marked(rows).unionByName(removed.select(*_marked(rows).columns))), job.at(name), "match_id", {"events": VERSIONS["events"]})
+    bad.write.mode("append").option("compression", "zstd").parquet(job.at("quarantine"))
+    cut(found).write.mode("overwrite").parquet(job.at("checkpoints"))
 
 
 def build_actions(job: Job) -> None:
+    """Actions of events that meet the conversion's contract; a breach stops the stage, warnings are reported."""
+    frames = job.table("frames") if job.include_frames else job.table("events").select("match_id", "source_event_id").limit(0)
+    found = cut(validation.conversion_contract(job.table("events"), job.table("intervals"), frames))
+    if fault := found.where("level = 'error'").head():
+        raise ValueError(f"match {fault.match_id}: {fault.code}")
+    lineage.Shared(job.spark, f"{job.out}/reports").write("conversion.json", lineage.dump({r.code: r.n for r in found.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}))
     job.save(actions.convert(job.table("events"), job.table("matches")), "actions", "actions")
 
 
@@ -111,18 +188,16 @@ def train(job: Job, targets: tuple[str, ...] = ("scores", "concedes")) -> None:
         scored = score(rows).select("match_id", "action_id", F.col("p").alias("p_score" if target == "scores" else "p_concede"))
         out = out.join(scored, ["match_id", "action_id"])
     job.save(out.withColumn("origin", valuation.origin(F.col("split"))), "predictions", "calibration")
-    lineage.write_json(f"{job.out}/reports/validation.json", reports)
+    lineage.Shared(job.spark, f"{job.out}/reports").write("validation.json", lineage.dump(reports))
 
 
 def evaluate(job: Job) -> None:
     """The frozen test: once; a second call finds the report and leaves it."""
-    from pathlib import Path
-
-    path = f"{job.out}/reports/test.json"
-    if Path(path).exists():
+    reports = lineage.Shared(job.spark, f"{job.out}/reports")
+    if reports.read("test.json") is not None:
         return
     rows = job.table("predictions").join(job.table("labels"), ["match_id", "action_id"]).where("split = 'test'")
-    lineage.write_json(path, {t: models.metrics.report(rows, [], p, t).head().asDict() for t, p in (("scores", "p_score"), ("concedes", "p_concede"))})
+    reports.write("test.json", lineage.dump({t: models.metrics.report(rows, [], p, t).head().asDict() for t, p in (("scores", "p_score"), ("concedes", "p_concede"))}))
 
 
 def value(job: Job) -> None:
@@ -152,10 +227,13 @@ STAGES: dict[str, Callable[[Job], None]] = {
 
 
 def run(job: Job, stages: list[str] | None = None) -> None:
-    """Runs the stages in order. A stage is claimed by what it is made from, and a stage that is done isn't run again."""
-    runs = lineage.Runs(f"{job.out}/runs")
+    """Runs the stages in order. A stage is claimed by the contents of the raw files, and a stage that is done isn't run again."""
+    files = json_arrays.whole_files(job.spark, f"{job.raw}/*/*.json").unionByName(json_arrays.whole_files(job.spark, f"{job.raw}/matches/*/*.json"))
+    name = F.substring_index("source_file", job.raw.rstrip("/").rsplit("/", 1)[-1], -1)
+    content = lineage.table_digest(files.select(name.alias("name"), F.sha2(F.coalesce("value", F.lit("")), 256).alias("digest")))
+    runs = lineage.Runs(lineage.Shared(job.spark, f"{job.out}/runs"))
     for name in stages or list(STAGES):
-        key, go = runs.claim({"stage": name, "raw": job.raw, "versions": VERSIONS, "minimum_minutes": job.minimum_minutes, "frames": job.include_frames})
+        key, go = runs.claim({"stage": name, "raw": content, "versions": VERSIONS, "minimum_minutes": job.minimum_minutes, "frames": job.include_frames})
         if not go:
             continue
         try:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fieldloom.operators.snapshots import merged, quarantine
 from fieldloom.schemas import problems
+from fieldloom.session import cut
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | None = None, columns: list[str] | None = None) -> DataFrame:
@@ -36,12 +37,14 @@ def in_match_order(rows: DataFrame, order: list[str]) -> DataFrame:
 
 def write(rows: DataFrame, path: str, by: list[str] = (), versions: dict[str, str] | None = None, mode: str = "errorifexists") -> None:
     """Parquet with zstd. Contract versions go into the columns' metadata."""
-    if versions:
-        rows = rows.select(*(F.col(c).alias(c, metadata={"versions": versions}) if i == 0 else F.col(c) for i, c in enumerate(rows.columns)))
-    writer = rows.write.mode(mode).option("compression", "zstd")
+    writer = (stamped(rows, versions) if versions else rows).write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def stamped(rows: DataFrame, versions: dict[str, str]) -> DataFrame:
+    return rows.select(*(F.col(c).alias(c, metadata={"versions": versions}) if i == 0 else F.col(c) for i, c in enumerate(rows.columns)))
+
+
 def versions_of(rows: DataFrame) -> dict[str, str]:
     return next((f.metadata["versions"] for f in rows.schema.fields if "versions" in f.metadata), {})
 
@@ -49,14 +52,14 @@ def versions_of(rows: DataFrame) -> dict[str, str]:
 def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str, keep: list[str] = ()) -> DataFrame:
     """Merges ``new`` into the table at ``path``, which is partitioned by ``partition`` (one of the keys): only its
     partitions are written again, each as a whole. Returns counts of inserted and updated rows."""
-    touched = new.select(partition).distinct()
+    touched = [r[0] for r in new.select(partition).distinct().collect()]  # the partitions of one load
     try:
-        old = spark.read.parquet(path)
+        old = spark.read.parquet(path).where(F.col(partition).isin(touched))  # prunes folders
     except Exception as error:  # the first load finds no table
         if "PATH_NOT_FOUND" not in str(error):
             raise
         old = spark.createDataFrame([], new.schema)
-    both = merged(old.join(touched, partition, "left_semi"), new, keys, keep, mark=True).checkpoint(eager=True)
+    both = cut(merged(old, new, keys, keep, mark=True))
     both.drop("change").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
     return both.groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
@@ -64,3 +67,17 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], part
 def append_quarantine(rows: DataFrame, path: str, root: str = "") -> None:
     """Rejected rows of a normalised and validated table (raw_details, source_file, issues)."""
     quarantine(rows, "issues", F.col("raw_details"), F.col("source_file"), root).write.mode("append").parquet(path)
+
+
+def replace_partitions(rows: DataFrame, path: str, partition: str, versions: dict[str, str]) -> None:
+    """Writes the partitions that ``rows`` has, each as a whole; the others stay."""
+    stamped(rows, versions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(partition).parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    try:
+        return spark.read.parquet(path)
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)

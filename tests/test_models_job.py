@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.operators import dataset, lineage, metrics, models, validation
+from fieldloom.operators import dataset, lineage, metrics, models, splits, validation
 from fieldloom.operators.vocabulary import CHANCE_FIELD
 from fieldloom.plans import job
 from fieldloom.schemas import ACTIONS, problems
@@ -154,6 +154,70 @@ def test_job_from_raw_files(spark, tmp_path):
     assert [c for c, _ in problems(made.table("actions").schema, ACTIONS)] == []
 
 
+def test_second_loads_touch_changed_matches_only(spark, tmp_path):
+    folder, out = tmp_path / "raw", tmp_path / "out"
+    for m in range(1, 4):
+        raw_match(folder, m, m)
+    (folder / "matches" / "1").mkdir(parents=True)
+    row = lambda m: {"match_id": m, "competition": {"competition_id": 1}, "season": {"season_id": 1}, "home_team": {"home_team_id": 10}, "away_team": {"away_team_id": 20}, "home_score": 0, "away_score": 0, "match_date": f"2022-01-0{m}", "kick_off": None}
+    (folder / "matches" / "1" / "1.json").write_text(json.dumps([row(m) for m in range(1, 6)]))
+    made = job.Job(spark, str(folder), str(out))
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in out.rglob("*.parquet") if "/runs/" not in str(p)}
+    job.run(made, ["ingest"])
+    before = files()
+    job.run(made, ["ingest"])  # the same contents: not even claimed
+    job.ingest(made)  # nor does the stage itself write anything
+    assert files() == before and made.table("events").count() == 180
+
+    changed = json.loads((folder / "events" / "2.json").read_text())[:-2]
+    changed[3]["type"]["name"], changed[4]["id"] = "Unheard Of", "no-uuid"
+    (folder / "events" / "2.json").write_text(json.dumps([*changed, 7], indent=1))
+    (folder / "events" / "1.json").write_text(json.dumps(json.loads((folder / "events" / "1.json").read_text()), indent=3, sort_keys=True))  # only spaces and the order of keys
+    for kind in ("events", "lineups"):
+        (folder / kind / "3.json").unlink()
+    raw_match(folder, 4, 4)
+    (folder / "events" / "4.json").write_text("[{]")
+    job.run(made, ["ingest"])
+    after = files()
+    touched = {p.split("match_id=")[1].split("/")[0] for p, _ in set(after.items()) ^ set(before.items()) if "/events/" in p}
+    assert touched == {"2", "3"}
+    assert {r.match_id: r["count"] for r in made.table("events").groupBy("match_id").count().collect()} == {1: 60, 2: 57}
+    assert spark.read.parquet(str(out / "events")).where("match_id = 3 and not is_active and removed_at is not null").count() == 60
+    assert sorted((r.match_id, r.family, r.reason_code) for r in spark.read.parquet(str(out / "quarantine")).collect()) == [(2, "event", "malformed_uuid"), (2, "event", "object_required"), (2, "event", "unknown_event_type"), (4, "event", "json_invalid")]
+    raw_match(folder, 3, 3)
+    job.run(made, ["ingest"])  # it came again
+    assert made.table("events").where("match_id = 3").count() == 60
+    (folder / "matches" / "1" / "1.json").write_text("nothing")
+    with pytest.raises(ValueError, match="raw_data_unreadable"):
+        job.run(made, ["ingest"])
+
+
+def test_runs_of_dead_owners_can_be_claimed(spark, tmp_path):
+    for store in (str(tmp_path / "a"), lineage.Shared(spark, f"file://{tmp_path}/b")):
+        runs = lineage.Runs(store, lease=-1)
+        key, go = runs.claim({"x": 1})
+        assert go and lineage.Runs(store).claim({"x": 1}) == (key, True)
+        with pytest.raises(RuntimeError):
+            lineage.Runs(store).claim({"x": 1})
+        runs.complete(key, {})
+        assert runs.claim({"x": 1}) == (key, False)
+
+
+def test_running_sums_and_ranks_of_any_order(spark):
+    from fieldloom.operators.ranges import running
+
+    rows = [(k, v, _task) for k in ("a", "b", None) for v in range(50) for _task in (v % 7,)] + [("a", 1000, 5)]
+    got = running(spark.createDataFrame(rows, "k string, v int, _task int").repartition(4), ["k"], [F.col("v")], {"sum": "v", "rows": "_task"}).collect()
+    for k in ("a", "b", None):
+        own = sorted((r for r in got if r.k == k), key=lambda r: r.v)
+        total = 0
+        for r in own:
+            total += r.v
+            assert r["sum"] == total and r.all_sum == sum(x.v for x in own)
+    with pytest.raises(Exception, match="match_date is null"):
+        splits.ranked(spark.createDataFrame([(1, None), (2, "x")], "match_id int, match_date string"), ["match_date", "match_id"]).collect()
+
+
 def test_stream_of_files_is_merged_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     out = str(tmp_path / "t")
