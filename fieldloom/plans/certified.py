@@ -3,7 +3,9 @@ DuckDB SQL that says independently what must come out."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry, hashing, text
@@ -26,6 +28,8 @@ from fieldloom.operators.vocabulary import (
 )
 from fieldloom.plans.adapters import ACTIONS_SQL
 from fieldloom.plans.catalog import ORACLE_SQL, QUERIES, actions, query, split_orders, table
+from fieldloom.session import shared_dir
+from fieldloom.sources import json_arrays
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -124,6 +128,32 @@ def normalized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source_record_index", "error_code", *(F.when(F.col("error_code").isNull(), F.col(c)).alias(c) for c in _TYPED))
 
 
+@query(
+    "raw_files",
+    "SELECT conv_id AS match_id, CAST(turn AS INTEGER) AS source_record_index, CASE WHEN turn % 5 = 0 THEN 'object_required' END AS read_error, CASE WHEN turn % 5 <> 0 THEN role END AS role FROM (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS turn FROM conversations) "
+    "UNION ALL SELECT n_nationkey, NULL, CASE WHEN n_nationkey % 2 = 0 THEN 'array_required' ELSE 'json_invalid' END, NULL FROM nation",
+)
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1-3, SRC12, SNK2: each conversation is written as a file of one array, each nation as a broken file; all are read back."""
+    turns, row = table(spark, sf_dir, "conversations"), Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    record = F.to_json(F.struct(F.col("conv_id").alias("match_id"), "role", "text"))
+    turns = turns.withColumn("nth", F.row_number().over(row) - 1).select("conv_id", F.struct("nth", F.when(F.col("nth") % 5 == 0, F.col("conv_id").cast("string")).otherwise(record).alias("r")).alias("e"))
+    arrays = turns.groupBy("conv_id").agg(F.concat(F.lit("[\n"), F.concat_ws(",\n", F.transform(F.sort_array(F.collect_list("e")), lambda e: e["r"])), F.lit("\n]")).alias("value")).select(F.col("conv_id").alias("k"), "value")
+    broken = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit('{"match_id":'), F.col("n_nationkey").cast("string"), F.lit("}"))).otherwise(F.concat(F.lit("["), F.col("n_nationkey").cast("string"), F.lit(","))).alias("value"))
+    parts = []
+    for rows in (arrays, broken):
+        folder = f"{shared_dir(spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+        rows.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+        parts.append(json_arrays.raw_records(spark, folder, "conversation", "src", match_from_name=False))
+    good, bad = parts
+    text = spark.read.text([r.source_file for r in bad.select("source_file").distinct().collect()], wholetext=True).select("value", F.col("_metadata.file_path").alias("source_file"))
+    bad = bad.join(text, "source_file").withColumn("match_id", F.regexp_extract("value", "([0-9]+)", 1).cast("bigint"))
+    own = good.groupBy("source_file").agg(F.max("match_id").alias("named"), F.max(F.when(F.col("read_error").isNotNull(), F.col("payload").cast("bigint"))).alias("bare"))
+    good = good.drop("match_id").join(own, "source_file").withColumn("match_id", F.coalesce("named", "bare"))
+    columns = ["match_id", F.col("source_record_index"), "read_error", F.get_json_object("payload", "$.role").alias("role")]
+    return good.select(*columns).unionByName(bad.select(*columns))
+
+
 # Rules of typed events ----------------------------------------------------------------------------------------
 
 _START = "CASE p WHEN " + " WHEN ".join(f"{k} THEN {v}" for k, v in PERIOD_START.items()) + " END"
