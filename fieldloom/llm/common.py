@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -14,21 +13,13 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.session import cut, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["cut", "shared_dir"]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jvm.get() if jvm.isDefined() else "file://" + tempfile.mkdtemp(prefix="fieldloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -41,12 +32,6 @@ def uri(path: str) -> str:
     return re.sub(r"^(file:)?/(?!/)", "file:///", path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, its lineage cut; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 class Tables:
     """Written tables in the shared folder: each cuts lineage, survives lost executors and can be deleted once what was
     made from it is written, too."""
