@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from fieldloom.session import cut, shared_dir
 
 __all__ = ["cut", "shared_dir"]
 
+T = TypeVar("T")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -79,11 +82,22 @@ def slices(batch: pa.RecordBatch, text: str, most_bytes: int) -> Iterator[pa.Rec
         yield batch.slice(start)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(key: str, make: Callable[[], T]) -> T:
+    """What a worker keeps from task to task: the last one made, so that a stage's model leaves when another stage makes its own."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 class WordTable:
     """A number for each white-space-separated word, made once by ``make(word)`` and kept in two generations of
     ``limit`` words at most; what is asked for again moves to the younger one."""
 
-    def __init__(self, make: Callable[[str], int], limit: int = 200_000) -> None:
+    def __init__(self, make: Callable[[str], int], limit: int = 100_000) -> None:
         self.make, self.limit, self.known, self.older = make, limit, {}, {}
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:

@@ -33,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import slices, unit_hash
+from fieldloom.llm.common import held, slices, unit_hash
 
 BLOCK = 2048
-SLICE = 8 << 20
+SLICE = 2 << 20
 DENSE = 256 << 20  # bytes of dense tables in a worker
 
 
@@ -62,8 +62,7 @@ def classes(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     keep[1:] = (codes[1:] != 1) | (codes[:-1] != 1)
     starts = np.concatenate([[0], np.cumsum(lengths)])
     keep[starts[:-1][lengths > 0]] = True
-    total = np.concatenate([[0], np.cumsum(keep)])
-    return codes[keep], total[starts[1:]] - total[starts[:-1]]
+    return codes[keep], lengths - np.diff(np.searchsorted(np.flatnonzero(~keep), starts))
 
 
 def suffix_edges(codes: np.ndarray) -> list[dict[int, int]]:
@@ -125,9 +124,6 @@ class Automaton:
         return np.where(self.at[place] == want, self.to[place], self.missing[here])
 
 
-_BUILT: dict[str, list[Automaton]] = {}
-
-
 class Parser:
     """Letters of samples of several languages; their automata are made where they are first needed."""
 
@@ -149,15 +145,15 @@ class Parser:
             coded.append(alphabet[codes])
         return cls(names, letters, alphabets, coded)
 
+    def _build(self) -> list[Automaton]:
+        room, made = DENSE, []
+        for alphabet, codes in zip(self.alphabets, self.samples, strict=True):
+            made.append(Automaton(codes, int(alphabet.max()) + 1, room))
+            room -= made[-1].bytes
+        return made
+
     def automata(self) -> list[Automaton]:
-        if self.key not in _BUILT:
-            _BUILT.clear()
-            room, made = DENSE, []
-            for alphabet, codes in zip(self.alphabets, self.samples, strict=True):
-                made.append(Automaton(codes, int(alphabet.max()) + 1, room))
-                room -= made[-1].bytes
-            _BUILT[self.key] = made
-        return _BUILT[self.key]
+        return held(f"automata {self.key}", self._build)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text in each language, and each text's letters (spaces not counted)."""
@@ -183,9 +179,8 @@ class Parser:
         out = np.zeros((len(texts), len(automata)), np.int64)
         for k in range(len(automata)):
             out[:, k] = np.bincount(owner, weights=counts[k], minlength=len(texts))
-        letters = np.concatenate([[0], np.cumsum(codes > 1)])
-        ends = np.cumsum(lengths)
-        return out, letters[ends] - letters[ends - lengths]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return out, lengths - np.diff(np.searchsorted(np.flatnonzero(codes <= 1), ends))
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and phrase bits a letter of each text."""

@@ -31,11 +31,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import cut, slices
+from fieldloom.llm.common import cut, held, slices
 
 CAPACITY = 4096
 GROUP = 20_000
-WORDS = 250_000
+WORDS = 100_000
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "\u200b", "\ufeff", "<|")
 # Fixed values of the vocabulary's file: how it splits text.
 UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -59,8 +59,6 @@ def units_of(word: str) -> list[str] | None:
 class Encoder:
     """Ids of texts as bytes of unsigned 32-bit numbers."""
 
-    loaded: dict[str, Encoder] = {}
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -70,9 +68,7 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        if path not in cls.loaded:
-            cls.loaded[path] = cls(path)
-        return cls.loaded[path]
+        return held(f"encoder {path}", lambda: cls(path))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -755,3 +755,21 @@ def test_sql_has_the_same_rows(spark, name):
     columns = [c[0] for c in got.description]
     want = Counter(tuple(r[columns.index(c)] for c in sorted(columns)) for r in got.fetchall())
     assert Counter(tuple(r[c] for c in sorted(columns)) for r in queries.QUERIES[name](spark, SF).collect()) == want
+
+
+def test_a_worker_keeps_one_model():
+    from fieldloom.llm.common import held
+
+    made = []
+    make = lambda x: lambda: made.append(x) or x
+    assert [held("a", make(1)), held("a", make(2)), held("b", make(3)), held("a", make(4))] == [1, 1, 3, 4]
+    assert made == [1, 3, 4]
+
+
+def test_letter_counts_of_odd_texts():
+    texts = ["", "ab  c--d", "  ", "", "é.é", "1a1", ""]
+    table = language.letter_table(["abcdé"])
+    codes, lengths = language.classes(texts, table)
+    assert lengths.tolist() == [0, 6, 1, 0, 3, 3, 0] and len(codes) == 13
+    parser = language.Parser.fit({"x": ["abcdé" * 5]})
+    assert parser.phrases(texts)[1].tolist() == [0, 4, 0, 0, 2, 1, 0]
