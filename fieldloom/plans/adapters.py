@@ -12,7 +12,7 @@ GAP = 43_200.0
 def actions_from_events(events: DataFrame) -> DataFrame:
     """A user is a match; acting team, period (a fifth of a month; the last is the shoot-out), goals and two
     probabilities come from the event's fields."""
-    order = Window.partitionBy("match_id").orderBy("ts", "event_id")
+    order = Window.partitionBy("match_id").orderBy(F.asc_nulls_last("ts"), F.asc_nulls_last("event_id"))  # as in ACTIONS_SQL
     value = F.col("value")
     return events.withColumnRenamed("user_id", "match_id").select(  # renamed first, so later windows reuse this partitioning
         "match_id",

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.operators import labels, players, splits, states, valuation
+from fieldloom.plans.adapters import actions_from_events
 
 def home():
     return F.col("team_id") == 10
@@ -106,6 +107,28 @@ def test_own_goal_does_not_reset(spark):
     assert (got.score_before, got.concede_before) == pytest.approx((0.2, 0.1))
 
 
+def test_what_stands_before_is_what_is_subtracted(spark):
+    rows = spark.createDataFrame([(1, 0, 10, 0.0, "pass", "success", 1.25, -0.25), (1, 1, 10, 1.0, "pass", "success", 0.5, 0.5), (2, 0, 10, 0.0, "pass", "success", 1.25, -0.25), (2, 1, 20, 1.0, "pass", "success", 0.5, 0.5), (3, 0, 10, 0.0, "pass", "success", None, None)], "match_id long, action_id long, team_id long, time_seconds double, type_name string, result_name string, p_score double, p_concede double")
+    valued = valuation.football_values(rows)
+    got = {(r.match_id, r.action_id): (r.score_before, r.concede_before, r.offensive, r.defensive) for r in valued.collect()}
+    assert got[1, 1] == (1.25, -0.25, -0.75, -0.75)
+    assert got[2, 1] == (-0.25, 1.25, 0.75, 0.75)
+    assert got[3, 0] == (None, None, None, None)
+    assert valuation.faults(valued).count() == 5
+
+
+def test_what_the_predecessor_lacks_is_the_actions_own(spark):
+    rows = [(0, None, 0.0, 0.25, 0.5, False), (1, 10, 1.0, None, None, None), (2, 20, 2.0, 0.125, 0.75, True), (3, 20, None, 0.5, 0.25, False)]
+    rows = spark.createDataFrame([(1, *r) for r in rows], "match_id long, action_id long, team_id long, time_seconds double, p_score double, p_concede double, goal boolean")
+    got = valuation.values(rows, F.col("goal"), F.lit(False), F.lit(False)).orderBy("action_id").collect()
+    assert [(r.score_before, r.concede_before) for r in got] == [(0.5, 0.25), (0.25, 0.5), (0.0, 0.0), (0.0, 0.0)]
+
+
+def test_actions_without_a_time_come_last(spark):
+    rows = spark.sql("select * from values (1L, null, 7L, 'view', 1.0d, '{}'), (2L, timestamp_ntz'2024-01-01 00:00:00', 7L, 'view', 1.0d, '{}') as e(event_id, ts, user_id, event_type, value, props)")
+    assert [r.event_id for r in actions_from_events(rows).orderBy("action_id").collect()] == [2, 1]
+
+
 def test_six_matches_split_four_one_one(spark):
     rows = spark.createDataFrame([(i, 1, 1, f"2022-01-{7 - i:02d}", "12:00:00") for i in range(1, 7)], "match_id long, competition_id long, season_id long, d string, kick_off string").withColumn("match_date", F.to_date("d"))
     got = splits.chronological(rows).orderBy("split_order").collect()
