@@ -26,9 +26,10 @@ def union_seconds(intervals: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def primary_position(intervals: DataFrame, keys: list[str]) -> DataFrame:
-    """The position held longest; of equals, the alphabetically first."""
+    """The position held longest; of equals, the alphabetically first. Unknown times and unknown positions come last."""
     held = intervals.groupBy(*keys, "position").agg(F.sum(F.col("end") - F.col("start")).alias("held"))
-    return held.groupBy(*keys).agg(F.min_by("position", F.struct(-F.col("held"), "position")).alias("position"))
+    order = F.struct(F.isnull("held"), -F.col("held"), F.isnull("position"), "position")
+    return held.groupBy(*keys).agg(F.min_by("position", order).alias("position"))
 
 
 def player_minutes(lineups: DataFrame, durations: DataFrame) -> DataFrame:

@@ -166,6 +166,11 @@ def test_interval_union_matches_brute_force(spark):
     assert got == {k: len({s for x, a, b in rows if x == k for s in range(a, b)}) for k in range(20)}
 
 
+def test_unknown_times_and_positions_come_last(spark):
+    rows = spark.createDataFrame([(1, "A", None, None), (1, "B", 0, 5), (2, None, 0, 5), (2, "C", 5, 10), (3, "D", None, None), (4, None, 0, 9), (4, "E", 0, 5)], "k int, position string, start int, end int")
+    assert {r.k: r.position for r in players.primary_position(rows, ["k"]).collect()} == {1: "B", 2: "C", 3: "D", 4: None}
+
+
 def test_player_aggregates(spark):
     values = spark.createDataFrame([(1, 1, 1, p, 10, "pass", 0.1, 0.1, 0.2) for p in (1, 1, 2, None)], "match_id long, competition_id long, season_id long, player_id long, team_id long, type_name string, offensive double, defensive double, vaep double")
     minutes = spark.createDataFrame([(1, 1, 10, 90.0, "CB")], "match_id long, player_id long, team_id long, minutes double, position string")
